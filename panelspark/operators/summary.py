@@ -50,6 +50,13 @@ def group_mean(df: DataFrame, by: list[str], value: str, name: str = "mean_value
             .orderBy(F.desc(name), *by))
 
 
+def group_mean_of_sums(df: DataFrame, by: list[str], total: str, rows: str, name: str = "mean_value") -> DataFrame:
+    """Mean per group from pre-aggregated sums and row counts (fact table summed per join key
+    before the joins), largest first."""
+    return (df.dropna(subset=by).groupBy(*by)
+            .agg(F.try_divide(F.sum(total), F.sum(rows)).alias(name)).orderBy(F.desc(name), *by))
+
+
 def month_mean(df: DataFrame, month: Column | str, value: str, name: str = "mean_value") -> DataFrame:
     """Mean per month number with its short name, in calendar order."""
     m = F.col(month) if isinstance(month, str) else month
@@ -66,10 +73,15 @@ def entity_summary(df: DataFrame, entity: list[str], value: str, static: list[st
 
 
 def kpis(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """avg, peak, low (1 decimal) and total (no decimals), overall or per series."""
+    """avg, peak, low (1 decimal) and total (no decimals), overall or per series.
+
+    Sums are first rounded to 6 digits, so the order of summation cannot flip a half.
+    """
+    def shown(x, digits):
+        return F.round(F.round(x, 6), digits)
     return df.groupBy(*(by or [])).agg(
-        F.round(F.avg(value), 1).alias("avg"), F.round(F.max(value), 1).alias("peak"),
-        F.round(F.min(value), 1).alias("low"), F.round(F.sum(value), 0).alias("total"))
+        shown(F.avg(value), 1).alias("avg"), shown(F.max(value), 1).alias("peak"),
+        shown(F.min(value), 1).alias("low"), shown(F.sum(value), 0).alias("total"))
 
 
 def value_range(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
