@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelspark.catalog import query, table
-from panelspark.catalog.learning import PRIORITIES, SEGMENTS, ml_orders
+from panelspark.catalog.learning import ML_SQL, PRIORITIES, SEGMENTS, ml_orders
 from panelspark.catalog.statistics import kpi_sql
 from panelspark.functions import scalars as S
 from panelspark.operators import joins
@@ -76,10 +76,15 @@ def fc2(spark, sf):
     return predicted(spark, sf)
 
 
-@query("fc2_predict_model")
+@query("fc2_predict_model", f"""WITH {ML_SQL}, {ENTITY_SQL},
+m AS (SELECT var_pop(priority_enc) AS vaa, var_pop(segment_enc) AS vbb, covar_pop(priority_enc, segment_enc) AS vab,
+  covar_pop(priority_enc, target) AS vay, covar_pop(segment_enc, target) AS vby, avg(target) AS y, avg(priority_enc) AS a, avg(segment_enc) AS b FROM ml),
+c AS (SELECT y, a, b, (vay * vbb - vby * vab) / (vaa * vbb - vab * vab) AS ca, (vby * vaa - vay * vab) / (vaa * vbb - vab * vab) AS cb FROM m)
+SELECT location, sector, zone, date, temperature, humidity, pollution_index, population_density, season_enc,
+  round(greatest(50.0::DOUBLE, least(1200.0::DOUBLE, y + ca * (zone_enc - a) + cb * (sector_enc - b))), 2) AS predicted_waste FROM scaffold, c""")
 def fc2_model(spark, sf):
     """Train on history, save, reload, score the scaffold."""
-    features = ["month", "day_of_week", "priority_enc", "segment_enc"]
+    features = ["priority_enc", "segment_enc"]
     path = scratch_path(spark, "forecast_model")
     writers.save_model(models.linear(features, "target").fit(ml_orders(spark, sf)), path)
     ahead = future(spark, sf).withColumns({"priority_enc": F.col("zone_enc"), "segment_enc": F.col("sector_enc")})

@@ -153,11 +153,14 @@ def ml8(spark, sf):
     return spark.createDataFrame(rows, "feature string, value double").withColumn("value", F.round("value", 6))
 
 
-@query("ml12_linear_importance", f"""WITH {ML_SQL}, {OLS_SQL},
+IMPORTANCE_SQL = f"""WITH {ML_SQL}, {OLS_SQL},
 c AS (SELECT 'price_k' AS feature, ca AS coefficient FROM ols UNION ALL SELECT 'balance_k', cb FROM ols)
 SELECT row_number() OVER (ORDER BY abs(coefficient) DESC, feature)::INTEGER AS rank, feature, round(coefficient, 6) AS coefficient,
  round(abs(coefficient), 6) AS abs_coef, round(abs(coefficient) / (SELECT sum(abs(coefficient)) FROM c), 6) AS importance,
- round(100 * abs(coefficient) / (SELECT sum(abs(coefficient)) FROM c), 3) AS importance_pct FROM c""")
+ round(100 * abs(coefficient) / (SELECT sum(abs(coefficient)) FROM c), 3) AS importance_pct FROM c"""
+
+
+@query("ml12_linear_importance", IMPORTANCE_SQL)
 def ml12(spark, sf):
     model = two_feature_model(spark, sf)
     out = models.linear_importance(models.linear_coefficients(model, ["price_k", "balance_k"], spark))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel  # noqa: F401
 from pyspark.sql import functions as F
 
 from panelspark.catalog import query, table
-from panelspark.catalog.learning import (LINE_FIT_SQL, ML_FEATURES, ML_SPLIT_SQL, evaluated_line, fitted_line_rows, ml_orders,
-                                         small_forest)
+from panelspark.catalog.learning import (IMPORTANCE_SQL, LINE_FIT_SQL, ML_FEATURES, ML_SPLIT_SQL, evaluated_line,
+                                         fitted_line_rows, ml_orders, small_forest, two_feature_model)
 from panelspark.functions import scalars as S
-from panelspark.plans import evaluation, models
+from panelspark.plans import models
 from panelspark.runtime import scratch_path
 from panelspark.sources import readers, writers
 
@@ -107,12 +106,14 @@ def k4(spark, sf):
     return out.select(F.round("actual", 6).alias("actual"), F.round("predicted", 6).alias("predicted"))
 
 
-@query("k5_save_importance")
+@query("k5_save_importance", IMPORTANCE_SQL)
 def k5(spark, sf):
-    model = small_forest(spark, sf)
+    model = two_feature_model(spark, sf)
     path = scratch_path(spark, "importance")
-    writers.save_importance(models.tree_importance(model, ML_FEATURES, spark), path)
-    return readers.read_csv(spark, path, "feature string, importance double, rank int, importance_pct double")
+    coefficients = models.linear_coefficients(model, ["price_k", "balance_k"], spark)
+    writers.save_importance(models.linear_importance(coefficients), path)
+    out = readers.read_csv(spark, path, "rank int, feature string, coefficient double, abs_coef double, importance double, importance_pct double")
+    return out.withColumns({c: F.round(c, 6) for c in ("coefficient", "abs_coef", "importance")})
 
 
 @query("k6_reload_model", "SELECT count(*) AS scored, count(*) AS equal_scores FROM orders")

@@ -37,7 +37,8 @@ def _explode_dimension(df: DataFrame, dim: DataFrame) -> DataFrame:
 
 def _piecewise(df: DataFrame, dim: DataFrame, limit: int) -> DataFrame:
     pieces = -(-dim.count() // limit)
-    left = df.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("bigint"))
+    left = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                          F.lit(pieces - 1).cast("bigint"))))
     right = dim.withColumn("_piece", F.pmod(F.xxhash64(*dim.columns), F.lit(pieces)))
     return salted_join(left, right, ["_piece"], "inner").drop("_piece")
 
