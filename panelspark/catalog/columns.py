@@ -157,13 +157,15 @@ FROM lineitem""")
 def p14(spark, sf):
     weight = S.lookup("l_returnflag", {"A": 120, "N": 200, "R": 350})
     modifier = S.lookup("l_linestatus", {"F": 1.1, "O": 0.95})
-    u = F.lit(0.3) + uniform(row_hash(LINE_KEY, "42-t")) * F.lit(0.4)
-    z = normal(row_hash(LINE_KEY, "42-n"))
-    amount = S.bounded_sum([F.col("l_extendedprice") * F.lit(0.005), F.col("l_quantity") * u, weight * modifier,
-                            z * F.lit(20.0)], *fv.WASTE_BOUNDS, 2)
-    index = S.bounded_sum([S.lookup("l_returnflag", {"A": 85, "N": 110, "R": 180}), z * F.lit(15.0),
-                           (F.col("l_quantity") - 60) * F.lit(0.3)], *fv.AQI_BOUNDS, 4)
-    return table(spark, sf, "lineitem").select(*LINE_KEY, amount.alias("waste_amount"), index.alias("pollution_index"))
+    d = table(spark, sf, "lineitem").withColumns({
+        "u": F.lit(0.3) + uniform(row_hash(LINE_KEY, "42-t")) * F.lit(0.4), "z": normal(row_hash(LINE_KEY, "42-n"))})
+    d = project.with_bounded_sum(d, "waste_amount", [
+        F.col("l_extendedprice") * F.lit(0.005), F.col("l_quantity") * F.col("u"), weight * modifier,
+        F.col("z") * F.lit(20.0)], *fv.WASTE_BOUNDS, 2)
+    d = project.with_bounded_sum(d, "pollution_index", [
+        S.lookup("l_returnflag", {"A": 85, "N": 110, "R": 180}), F.col("z") * F.lit(15.0),
+        (F.col("l_quantity") - 60) * F.lit(0.3)], *fv.AQI_BOUNDS, 4)
+    return d.select(*LINE_KEY, "waste_amount", "pollution_index")
 
 
 @query("p15_alert_level", """

@@ -86,7 +86,7 @@ def fc2_model(spark, sf):
     """Train on history, save, reload, score the scaffold."""
     features = ["priority_enc", "segment_enc"]
     path = scratch_path(spark, "forecast_model")
-    writers.save_model(models.linear(features, "target").fit(ml_orders(spark, sf)), path)
+    writers.save_model(models.fit(models.linear(features, "target"), ml_orders(spark, sf)), path)
     ahead = future(spark, sf).withColumns({"priority_enc": F.col("zone_enc"), "segment_enc": F.col("sector_enc")})
     return forecast.finish(writers.load_model(path).transform(ahead), "prediction", SERIES)
 

@@ -58,12 +58,10 @@ def ml_orders(spark, sf):
 def fitted_line_rows(spark, sf):
     """(train and test rows with the flag, scored test rows) of a one-feature line."""
     marked = sampling.exact_split(ml_orders(spark, sf), 0.2, ["o_orderkey"])
-    fit = correlation.fit_line(marked.where("not is_test"), "price_k", "target")
-    line = fit.select(F.struct("slope", "intercept")).scalar()
-    scored = (marked.where("is_test").withColumn("_f", line)
-              .select("o_orderkey", F.col("target").alias("actual"),
-                      (F.col("_f.intercept") + F.col("_f.slope") * F.col("price_k")).alias("predicted")))
-    return marked, scored
+    # one row: fetched once, so later passes do not fit again
+    line = correlation.fit_line(marked.where("not is_test"), "price_k", "target").first()
+    predicted = F.lit(line.intercept) + F.lit(line.slope) * F.col("price_k")
+    return marked, marked.where("is_test").select("o_orderkey", F.col("target").alias("actual"), predicted.alias("predicted"))
 
 
 def evaluated_line(spark, sf):
@@ -75,12 +73,12 @@ def evaluated_line(spark, sf):
 
 def small_forest(spark, sf):
     train, _ = models.split(ml_orders(spark, sf), ["o_orderkey"])
-    return models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5).fit(train)
+    return models.fit(models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5), train)
 
 
 def small_boosting(spark, sf):
     train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
-    return models.gradient_boosting(ML_FEATURES, "target", rounds=5, max_depth=4).fit(train), test
+    return models.fit(models.gradient_boosting(ML_FEATURES, "target", rounds=5, max_depth=4), train), test
 
 
 @query("ml1_assemble", f"""WITH {ML_SQL}
@@ -116,7 +114,7 @@ def ml4(spark, sf):
 @query("ml5_random_forest")
 def ml5(spark, sf):
     train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
-    model = models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5).fit(train)
+    model = models.fit(models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5), train)
     return evaluation.metrics(models.score(model, test, "target"))
 
 
@@ -140,7 +138,7 @@ ols AS (SELECT ybar AS intercept, (vay * vbb - vby * vab) / (vaa * vbb - vab * v
 
 def two_feature_model(spark, sf):
     d = ml_orders(spark, sf)
-    return models.linear(["price_k", "balance_k"], "target").fit(d)
+    return models.fit(models.linear(["price_k", "balance_k"], "target"), d)
 
 
 @query("ml8_least_squares", f"""WITH {ML_SQL}, {OLS_SQL}
@@ -171,7 +169,7 @@ def ml12(spark, sf):
 def ml8_all(spark, sf):
     """All features, metrics on held-out rows."""
     train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
-    model = models.linear(ML_FEATURES, "target").fit(train)
+    model = models.fit(models.linear(ML_FEATURES, "target"), train)
     return evaluation.metrics(models.score(model, test, "target"))
 
 

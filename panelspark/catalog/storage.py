@@ -120,7 +120,7 @@ def k5(spark, sf):
 def k6(spark, sf):
     """Scores of the reloaded model equal those of the model that was saved."""
     df = ml_orders(spark, sf)
-    model = models.linear(ML_FEATURES, "target").fit(df)
+    model = models.fit(models.linear(ML_FEATURES, "target"), df)
     path = scratch_path(spark, "model")
     writers.save_model(model, path)
     again = writers.load_model(path)

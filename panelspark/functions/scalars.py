@@ -135,13 +135,5 @@ def repair_capped(c: Column | str, cap: float, replacement: Column) -> dict[str,
     return {"value": F.when(hit, replacement).otherwise(x), "was_capped": hit}
 
 
-def bounded_sum(terms: list[Column], lo: float, hi: float, digits: int) -> Column:
-    """Clip and round the sum of terms: the form of both the waste and the air-quality formula."""
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return F.round(clip(total, lo, hi), digits)
-
-
 def future_date(start: Column | str, days: Column | int) -> Column:
     return F.date_add(_col(start), days)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.scalars import clip
+
 
 def keep(df: DataFrame, columns: list[str]) -> DataFrame:
     """Ordered column subset; unknown names raise."""
@@ -24,20 +26,41 @@ def prettify(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: c.replace("_", " ").title() for c in df.columns})
 
 
-def cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast columns in one projection; values that do not fit become null instead of failing.
+_INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
 
-    A whole-number text such as '12.0' casts to an integer type by way of double.
+def safe_cast(c: Column, source: str, target: str) -> Column:
+    """Cast that gives null for values that do not fit.
+
+    Whole numbers are range-checked, which is cheaper than a failing ``try_cast`` per row. A
+    number text such as '12.5' becomes an integer by way of double (truncated).
     """
-    out = {}
+    if target in _INTEGER_BITS and source in _INTEGER_BITS:
+        if _INTEGER_BITS[target] >= _INTEGER_BITS[source]:
+            return c.cast(target)
+        top = 1 << (_INTEGER_BITS[target] - 1)
+        return F.when(c.between(-top, top - 1), c.cast(target))
+    if target in _INTEGER_BITS and source == "string":
+        return F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
+    return c.try_cast(target)
+
+
+def cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Cast columns in one projection; values that do not fit become null instead of failing."""
     source = dict(df.dtypes)
-    for c, t in types.items():
-        col = F.col(c)
-        if t in ("tinyint", "smallint", "int", "bigint") and source[c] == "string":
-            out[c] = F.coalesce(col.try_cast(t), col.try_cast("double").try_cast(t))
-        else:
-            out[c] = col.try_cast(t)
-    return df.withColumns(out)
+    return df.withColumns({c: safe_cast(F.col(c), source[c], t) for c, t in types.items()})
+
+
+def with_bounded_sum(df: DataFrame, name: str, terms: list[Column], lo: float, hi: float, digits: int) -> DataFrame:
+    """Add the sum of terms, clipped and rounded: the form of the waste and air-quality formulas.
+
+    The sum is a column of its own first, so costly terms (hashes) are evaluated once although
+    clipping refers to them several times.
+    """
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return df.withColumn("_sum", total).withColumn(name, F.round(clip("_sum", lo, hi), digits)).drop("_sum")
 
 
 def with_constants(df: DataFrame, values: dict) -> DataFrame:

@@ -16,8 +16,12 @@ from panelspark.functions.hashing import hex_number, row_hash
 BUCKET_DIGITS = 5
 
 
-def _threshold(df: DataFrame, key: list[str], seed, k: Column) -> Column:
-    """(hash, key...) of the k-th row in hash order, as a scalar; ``k`` may use column ``n``."""
+def _threshold(df: DataFrame, key: list[str], seed, k: Column):
+    """(hash, key...) of the k-th row in hash order, or None when k is 0; ``k`` may use column ``n``.
+
+    Two passes over the key columns, run here and now: the one row found becomes a literal, so
+    later passes over a sample or split only compare.
+    """
     hashed = df.select(row_hash(key, seed).alias("h"), *key)
     bucket = F.substring("h", 1, BUCKET_DIGITS)
     counts = hashed.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("c"))
@@ -26,19 +30,24 @@ def _threshold(df: DataFrame, key: list[str], seed, k: Column) -> Column:
     edge = (counts.select("bucket", "c", upto.alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n"))
             .withColumn("k", F.least(k, F.col("n")))
             .where((F.col("upto") - F.col("c") < F.col("k")) & (F.col("k") <= F.col("upto")))
-            .select(F.struct("bucket", (F.col("k") - F.col("upto") + F.col("c")).alias("rank")).alias("edge")))
-    place = Window.partitionBy("edge").orderBy("h", *key)
-    last = (hashed.withColumn("edge", edge.scalar())
-            .where(bucket == F.col("edge.bucket"))
+            .select("bucket", (F.col("k") - F.col("upto") + F.col("c")).alias("rank")).first())
+    if edge is None:
+        return None
+    place = Window.partitionBy("bucket").orderBy("h", *key)
+    return (hashed.withColumn("bucket", bucket).where(F.col("bucket") == edge["bucket"])
             .withColumn("rank", F.row_number().over(place))
-            .where(F.col("rank") == F.col("edge.rank"))
-            .select(F.struct("h", *key).alias("t")))
-    return last.scalar()
+            .where(F.col("rank") == edge["rank"]).select("h", *key).first())
 
 
 def _before(df: DataFrame, key: list[str], seed, k: Column) -> Column:
-    here = F.struct(row_hash(key, seed).alias("h"), *key)
-    return F.coalesce(here <= _threshold(df, key, seed, k), F.lit(False))
+    last = _threshold(df, key, seed, k)
+    if last is None:
+        return F.lit(False)
+    types = dict(df.dtypes)
+    h = row_hash(key, seed)
+    # equal hashes are decided by the key; written out so that the hash alone decides first
+    tie = F.struct(*key) <= F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in key])
+    return (h < last["h"]) | ((h == last["h"]) & tie)
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed=42) -> DataFrame:

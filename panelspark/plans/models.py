@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import fixed_values as fv
 from panelspark.operators import sampling
+from panelspark.runtime import shared_dir
 
 
 def assembler(features: list[str]) -> VectorAssembler:
@@ -59,6 +61,25 @@ def linear(features: list[str] = fv.FEATURES, label: str = fv.TARGET, fit_interc
                          fitIntercept=fit_intercept, standardization=False)])
 
 
+def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the training rows cached, as every stage passes over them again.
+
+    Few input partitions (a small or badly split source) are first spread over all cores; a
+    large source keeps its partitions. Boosting cuts its lineage in the shared folder.
+    """
+    spark = train.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_dir(spark))
+    if train.rdd.getNumPartitions() < sc.defaultParallelism:
+        train = train.repartition(sc.defaultParallelism)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(train)
+    finally:
+        train.unpersist()
+
+
 def split(df: DataFrame, key: list[str], test_size: float = 0.2, seed: int = fv.SEED,
           exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; the same key, seed and size give the same split for every model."""

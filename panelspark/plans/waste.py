@@ -21,23 +21,26 @@ def impute_weather(weather: DataFrame, accuracy: int | None = None) -> DataFrame
             .drop("weather_code"))
 
 
-def air_quality(noise_std: float = 15.0, seed: int = fv.SEED):
-    """Base index plus humidity effect plus noise by row key, bounded, 1 decimal."""
+def with_air_quality(df: DataFrame, noise_std: float = 15.0, seed: int = fv.SEED) -> DataFrame:
+    """pollution_index: base index plus humidity effect plus noise by row key, bounded, 1 decimal."""
     noise = normal(row_hash(PANEL_KEY, f"{seed}-aqi"), 0.0, noise_std)
-    return S.bounded_sum([F.col("aqi_base"), noise, (F.col("humidity") - 60) * F.lit(0.3)], *fv.AQI_BOUNDS, 1)
+    terms = [F.col("aqi_base"), noise, (F.col("humidity") - 60) * F.lit(0.3)]
+    return project.with_bounded_sum(df, "pollution_index", terms, *fv.AQI_BOUNDS, 1)
 
 
-def waste_amount(noise_std: float = 20.0, seed: int = fv.SEED):
-    """Population, temperature, humidity and sector-by-zone terms plus noise, bounded, 2 decimals."""
+def with_waste_amount(df: DataFrame, noise_std: float = 20.0, seed: int = fv.SEED) -> DataFrame:
+    """waste_amount: population, temperature, humidity and sector-by-zone terms plus noise, bounded,
+    2 decimals."""
     def h(part):
         return row_hash(PANEL_KEY, f"{seed}-{part}")
-    return S.bounded_sum([
+    terms = [
         F.col("population") * F.lit(0.00005),
         F.col("temperature") * uniform(h("temperature"), 0.3, 0.7),
         F.col("humidity") * uniform(h("humidity"), 0.05, 0.15),
         F.col("weight") * F.col("modifier"),
         normal(h("noise"), 0.0, noise_std),
-    ], *fv.WASTE_BOUNDS, 2)
+    ]
+    return project.with_bounded_sum(df, "waste_amount", terms, *fv.WASTE_BOUNDS, 2)
 
 
 def build_raw(weather: DataFrame, seed: int = fv.SEED) -> DataFrame:
@@ -49,7 +52,7 @@ def build_raw(weather: DataFrame, seed: int = fv.SEED) -> DataFrame:
     cells = joins.cross_expand(days, {"sector": list(fv.SECTOR_WEIGHTS)}, {"zone": list(fv.ZONE_MODIFIERS)})
     cells = joins.lookup(cells, dimensions.sector_weight(spark), "sector")
     cells = joins.lookup(cells, dimensions.zone_modifier(spark), "zone")
-    derived = cells.withColumns({"pollution_index": air_quality(seed=seed), "waste_amount": waste_amount(seed=seed)})
+    derived = with_waste_amount(with_air_quality(cells, seed=seed), seed=seed)
     typed = derived.withColumns({
         "date": S.format_date(S.parse_date("date")),
         "temperature": F.round("temperature", 1),

@@ -135,7 +135,7 @@ def test_models_beat_the_mean(spark, halves):
     for name, pipe in (("Random Forest", models.random_forest(num_trees=6, max_depth=6)),
                        ("Boosted Trees", models.gradient_boosting(rounds=8, max_depth=4)),
                        ("Linear Reg", models.linear())):
-        fitted = pipe.fit(train)
+        fitted = models.fit(pipe, train)
         m = evaluation.metrics(models.score(fitted, test)).withColumn("model", F.lit(name))
         assert m.first().r2 > 0.5, name
         scores = m if scores is None else scores.unionByName(m)
@@ -154,7 +154,7 @@ def test_models_beat_the_mean(spark, halves):
 
 def test_reload_gives_equal_scores(spark, halves):
     train, test = halves
-    model = models.random_forest(num_trees=3, max_depth=4).fit(train)
+    model = models.fit(models.random_forest(num_trees=3, max_depth=4), train)
     path = scratch_path(spark, "model")
     writers.save_model(model, path)
     a = models.score(model, test, keep=["row"])
@@ -165,7 +165,7 @@ def test_reload_gives_equal_scores(spark, halves):
 
 
 def test_forecast(spark, halves):
-    model = models.linear().fit(halves[0])
+    model = models.fit(models.linear(), halves[0])
     entities = spark.createDataFrame([("Delhi", "Industrial", "Central"), ("Kochi", "Healthcare", "West")],
                                      "location string, sector string, zone string")
     out = forecast.predict_future(entities, model, 14, dt.date(2024, 2, 25))
