@@ -37,9 +37,14 @@ def ordered_boxes(df: DataFrame, category: str, value: str, order: list[str]) ->
     return boxes.withColumn("position", place).where("position > 0").orderBy("position")
 
 
+def overview_cities(cleaned: DataFrame, target: str = fv.TARGET) -> DataFrame:
+    """Mean of the target per city next to its population."""
+    return summary.entity_summary(cleaned, ["location"], target, ["population"], "avg_waste")
+
+
 def overview(cleaned: DataFrame, target: str = fv.TARGET) -> dict[str, DataFrame]:
     """Sector and month means, city means against population with a line, correlation triangle."""
-    cities = summary.entity_summary(cleaned, ["location"], target, ["population"], "avg_waste")
+    cities = overview_cities(cleaned, target)
     millions = cities.withColumn("population_millions", F.col("population") / F.lit(1e6))
     city_fit = correlation.fit_line(millions, "population_millions", "avg_waste")
     months = summary.month_mean(cleaned, "month", target, "avg_waste")

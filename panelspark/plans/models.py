@@ -71,13 +71,15 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
-    if train.rdd.getNumPartitions() < sc.defaultParallelism:
-        train = train.repartition(sc.defaultParallelism)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [train.persist(StorageLevel.MEMORY_AND_DISK)]
+    # asked of the cached rows, so that the joins behind them run once
+    if kept[0].rdd.getNumPartitions() < sc.defaultParallelism:
+        kept.append(kept[0].repartition(sc.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        return pipeline.fit(train)
+        return pipeline.fit(kept[-1])
     finally:
-        train.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def split(df: DataFrame, key: list[str], test_size: float = 0.2, seed: int = fv.SEED,
