@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.quantiles import quantiles
+from panelspark.operators.quantiles import describe
 from panelspark.runtime import attach
 
 
@@ -38,7 +38,8 @@ def histogram(df: DataFrame, values: list[str], bins: int | None = 50,
                          F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("lo"),
                          F.when(flat, F.col("_b") + 0.5).otherwise(F.col("_b")).alias("hi"))
     n = F.col("_n")
-    data = attach(long, edges, keys, "inner")
+    # without groups there is one row of edges per column
+    data = attach(long, edges, keys, "inner", rows=None if by else len(values))
     # the bucket of hi itself is n + 1
     slot = F.least(F.width_bucket("_v", F.col("lo"), F.col("hi"), n.cast("bigint")), n.cast("bigint"))
     counts = (data.groupBy(*keys, "lo", "hi", "_n", slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_c"))
@@ -55,10 +56,5 @@ def histogram(df: DataFrame, values: list[str], bins: int | None = 50,
 def centre_lines(df: DataFrame, values: list[str], by: list[str] | None = None,
                  accuracy: int | None = None) -> DataFrame:
     """Mean and median per column: the vertical lines drawn over a histogram."""
-    by = list(by or [])
-    med = quantiles(df, values, [0.5], by, accuracy).select(
-        *by, "variable", F.element_at("q", 1).alias("median"))
-    means = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in values])
-             .unpivot(by, values, "variable", "_v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-             .groupBy(*by, "variable").agg(F.avg("_v").alias("mean")))
-    return means.join(med, [*by, "variable"], "left")
+    stats = describe(df, values, by, None, accuracy)
+    return stats.select(*(by or []), "variable", "mean", F.col("p50").alias("median"))

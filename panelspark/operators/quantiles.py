@@ -20,14 +20,28 @@ CELLS = 16_384
 SORT_ROW_LIMIT = 1_000_000
 
 
-def _long(df: DataFrame, values: list[str], by: list[str]) -> DataFrame:
-    """by..., variable, _v: numbers only, without null group keys."""
+def _long(df: DataFrame, values: list[str], by: list[str], missing: bool = False) -> DataFrame:
+    """by..., variable, _v: numbers without null group keys; ``missing`` keeps nulls (and NaN as null)."""
     out = df.select(*by, *[F.col(c).cast("double").alias(c) for c in values])
     if by:
         out = out.dropna(subset=by)
-    return (out.unpivot(by, values, "variable", "_v")
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .withColumn("_v", F.col("_v") + F.lit(0.0)))  # -0.0 and 0.0 are one value
+    out = out.unpivot(by, values, "variable", "_v")
+    if missing:
+        out = out.withColumn("_v", F.nanvl("_v", F.lit(None).cast("double")))
+    else:
+        out = out.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return out.withColumn("_v", F.col("_v") + F.lit(0.0))  # -0.0 and 0.0 are one value
+
+
+def _groups_are_small(df: DataFrame, long: DataFrame, keys: list[str], small_group: int) -> bool:
+    """Whether no group exceeds ``small_group`` values; the row count alone often tells."""
+    if df.count() <= small_group:
+        return True
+    return (long.groupBy(keys).count().agg(F.max("count")).first()[0] or 0) <= small_group
+
+
+def _percentiles(probs: list[float]):
+    return F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
 
 
 def _held(ranks: str, before, upto):
@@ -70,11 +84,8 @@ def exact_quantiles(df: DataFrame, values: list[str], probs: list[float],
     by = list(by or [])
     keys = [*by, "variable"]
     long = _long(df, values, by)
-    largest = long.groupBy(keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= small_group:
-        return long.groupBy(keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    if _groups_are_small(df, long, keys, small_group):
+        return long.groupBy(keys).agg(F.count(F.lit(1)).alias("n"), _percentiles(probs).alias("q"))
 
     def position(p):
         return (F.col("n") - 1) * F.lit(float(p))
@@ -152,22 +163,25 @@ def fill_group_median(df: DataFrame, by: list[str], values: list[str],
                         if c in values else F.col(c) for c in df.columns])
 
 
-def describe(df: DataFrame, values: list[str], by: list[str] | None = None, digits: int = 2,
-             accuracy: int | None = None) -> DataFrame:
+def describe(df: DataFrame, values: list[str], by: list[str] | None = None, digits: int | None = 2,
+             accuracy: int | None = None, small_group: int = SMALL_GROUP_ROWS) -> DataFrame:
     """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per column, one row per column."""
     by = list(by or [])
-    q = quantiles(df, values, [0.25, 0.5, 0.75], by, accuracy)
-    long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in values])
-            .unpivot(by, values, "variable", "_v")
-            .withColumn("_v", F.nanvl("_v", F.lit(None).cast("double"))))
-    m = long.groupBy(*by, "variable").agg(
-        F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
-        F.min("_v").alias("min"), F.max("_v").alias("max"))
-    q = q.select(*by, "variable", F.element_at("q", 1).alias("p25"),
-                 F.element_at("q", 2).alias("p50"), F.element_at("q", 3).alias("p75"))
-    stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return (m.join(q, [*by, "variable"], "left")
-            .select(*by, "variable", "count", *[F.round(c, digits).alias(c) for c in stats]))
+    keys = [*by, "variable"]
+    probs = [0.25, 0.5, 0.75]
+    long = _long(df, values, by, missing=True)
+    moments = [F.count("_v").alias("count"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+               F.min("_v").alias("min"), F.max("_v").alias("max")]
+    if accuracy is not None:
+        both = long.groupBy(keys).agg(*moments, F.percentile_approx("_v", probs, accuracy).alias("q"))
+    elif _groups_are_small(df, long, keys, small_group):
+        both = long.groupBy(keys).agg(*moments, _percentiles(probs).alias("q"))
+    else:
+        q = exact_quantiles(df, values, probs, by, small_group)
+        both = long.groupBy(keys).agg(*moments).join(q.select(*keys, "q"), keys, "left")
+    stats = {"mean": F.col("mean"), "std": F.col("std"), "min": F.col("min"), "p25": F.element_at("q", 1),
+             "p50": F.element_at("q", 2), "p75": F.element_at("q", 3), "max": F.col("max")}
+    return both.select(*keys, "count", *[(c if digits is None else F.round(c, digits)).alias(n) for n, c in stats.items()])
 
 
 def box_stats(df: DataFrame, by: list[str], value: str, whisker: float = 1.5,

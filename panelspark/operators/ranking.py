@@ -26,20 +26,37 @@ def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFra
             .withColumn(rank, F.col("_off") + within + 1).drop("_id", "_part", "_off"))
 
 
+def label_mappings(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(name, value, code) for all columns from one pass: distinct non-null values of each column
+    in binary order, numbered from 0."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.inline(pairs)).where("value is not null").distinct()
+    ranked = rank_rows(values, [F.col("name"), F.col("value")], "_rank")
+    # one row per column
+    first = ranked.groupBy("name").agg(F.min("_rank").alias("_first"))
+    return (ranked.join(F.broadcast(first), "name")
+            .select("name", "value", (F.col("_rank") - F.col("_first")).cast("int").alias("code")))
+
+
 def label_mapping(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): distinct non-null values in binary order, numbered from 0."""
-    values = df.select(F.col(column).alias("value")).where("value is not null").distinct()
-    return rank_rows(values, [F.col("value")], "code").select("value", (F.col("code") - 1).cast("int").alias("code"))
+    """(value, code) of one column."""
+    return label_mappings(df, [column]).drop("name")
 
 
-def label_encode(df: DataFrame, columns: list[str], suffix: str = "_enc") -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Add an alphabetical code per column (null gives -1); also return the mapping tables."""
+def label_encode(df: DataFrame, columns: list[str], suffix: str = "_enc",
+                 source: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Add an alphabetical code per text column (null gives -1); also return the mapping tables.
+
+    ``source`` may name a cheaper table with the same distinct values, e.g. the rows before
+    duplicates were removed.
+    """
+    all_maps = materialize(label_mappings(df if source is None else source, columns), "labels")
+    sizes = {r["name"]: r["count"] for r in all_maps.groupBy("name").count().collect()}
     mappings = {}
     for c in columns:
-        m = materialize(label_mapping(df, c), f"labels_{c}")
-        mappings[c] = m
-        side = m.withColumnsRenamed({"value": c, "code": f"{c}{suffix}"})
-        df = attach(df, side, [c], "left", rows=m.count())
+        mappings[c] = all_maps.where(F.col("name") == c).drop("name")
+        side = mappings[c].withColumnsRenamed({"value": c, "code": f"{c}{suffix}"})
+        df = attach(df, side, [c], "left", rows=sizes.get(c, 0))
         df = df.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)))
     return df, mappings
 

@@ -15,10 +15,12 @@ def exploration(ml: DataFrame, sample_key: list[str] | None = None, target: str
     """Describe, histograms with centre lines, correlation triangle, trend line, box plot."""
     labelled = ml.withColumn("sector_label", S.decode("sector_enc", dimensions.sector_names()))
     fit = correlation.fit_line(ml, "temperature", target)
+    stats = quantiles.describe(ml, fv.HIST_COLUMNS, digits=None)
+    shown = [c for c, t in stats.dtypes if t == "double"]
     tables = {
-        "describe": quantiles.describe(ml, fv.HIST_COLUMNS),
+        "describe": stats.withColumns({c: F.round(c, 2) for c in shown}),
         "histograms": histogram.histogram(ml, fv.HIST_COLUMNS, 50),
-        "centre_lines": histogram.centre_lines(ml, fv.HIST_COLUMNS),
+        "centre_lines": stats.select("variable", "mean", F.col("p50").alias("median")),
         "correlation": correlation.correlation_matrix(ml, fv.EDA_CORR_COLUMNS, triangle=True),
         "temperature_r": correlation.pearson(ml, "temperature", target),
         "temperature_fit": fit,

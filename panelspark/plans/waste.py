@@ -80,6 +80,7 @@ def engineer(raw: DataFrame, narrow: bool = True) -> tuple[DataFrame, dict[str,
     d = raw.withColumn("date", S.parse_date("date"))
     d = d.withColumns(S.calendar_features("date"))
     d = d.withColumn("season", S.season("month"))
+    labels = d
     d = repair_cap(d).drop("was_capped").dropDuplicates()
     if narrow:
         d = project.cast(d, fv.NARROW_TYPES)
@@ -88,7 +89,7 @@ def engineer(raw: DataFrame, narrow: bool = True) -> tuple[DataFrame, dict[str,
     d = d.withColumns({
         "population_density": S.safe_ratio(F.col("population"), F.col("area_km2"), 2).cast("float" if narrow else "double"),
         "date": S.format_date("date")})
-    d, maps = ranking.label_encode(d, ["sector", "weather_condition", "location", "season", "zone"])
+    d, maps = ranking.label_encode(d, ["sector", "weather_condition", "location", "season", "zone"], source=labels)
     return project.keep(d, fv.CLEAN_COLUMNS), maps
 
 

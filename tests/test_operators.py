@@ -65,6 +65,14 @@ def test_describe_single_row(spark):
     assert (r["count"], r["mean"], r["std"], r["p50"]) == (1, 3.0, None, 3.0)
 
 
+@pytest.mark.parametrize("small", [0, 10**9])
+def test_describe_without_values(spark, small):
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), 2.0)], "a double, b double")
+    got = {r.variable: r for r in quantiles.describe(df, ["a", "b"], small_group=small).collect()}
+    assert (got["a"]["count"], got["a"]["mean"], got["a"].p50) == (0, None, None)
+    assert (got["b"]["count"], got["b"].p25, got["b"]["max"]) == (2, 1.25, 2.0)
+
+
 def test_approx_quantiles(spark):
     df = spark.range(10_001).select(F.col("id").cast("double").alias("v"))
     q = quantiles.quantiles(df, ["v"], [0.5], accuracy=1000).first().q
