@@ -39,8 +39,11 @@ line_scored AS (SELECT o_orderkey, target AS actual, intercept + slope * price_k
 line_metrics AS (SELECT {METRICS_SQL} FROM line_scored)"""
 
 
-def ml_orders(spark, sf):
-    orders = table(spark, sf, "orders")
+def ml_orders(spark, sf, orders=None):
+    """Features and target per order; extra columns of a given ``orders`` table are kept."""
+    plain = table(spark, sf, "orders")
+    orders = plain if orders is None else orders
+    extra = [c for c in orders.columns if c not in plain.columns]
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
     d = joins.lookup(orders, customer, "o_custkey")
     price, balance = F.col("o_totalprice") / F.lit(1000.0), F.col("c_acctbal") / F.lit(1000.0)
@@ -48,16 +51,27 @@ def ml_orders(spark, sf):
     modifier = S.lookup("o_orderpriority", dict(zip(PRIORITIES, [1.1, 1.05, 1.0, 0.98, 0.95], strict=True)))
     noise = F.lit(14.7310253) * normal(row_hash(["o_orderkey"], 7))
     return d.select(
-        "o_orderkey", "o_orderstatus", price.alias("price_k"), balance.alias("balance_k"),
+        *extra, "o_orderkey", "o_orderstatus", price.alias("price_k"), balance.alias("balance_k"),
         F.month("o_orderdate").cast("double").alias("month"), F.weekday("o_orderdate").cast("double").alias("day_of_week"),
         S.encode("o_orderpriority", PRIORITIES).cast("double").alias("priority_enc"),
         S.encode("c_mktsegment", SEGMENTS).cast("double").alias("segment_enc"),
         (F.lit(50.0) + F.lit(1.2) * price + F.lit(3.0) * balance + weight * modifier + noise).alias("target"))
 
 
+def marked_orders(spark, sf):
+    """ml_orders with the exact 20 % test flag, set before the join: only order keys are scanned for it."""
+    return ml_orders(spark, sf, sampling.exact_split(table(spark, sf, "orders"), 0.2, ["o_orderkey"]))
+
+
+def halves(spark, sf):
+    """Train and test rows of :func:`marked_orders`."""
+    train, test = models.split(table(spark, sf, "orders"), ["o_orderkey"])
+    return ml_orders(spark, sf, train), ml_orders(spark, sf, test)
+
+
 def fitted_line_rows(spark, sf):
     """(train and test rows with the flag, scored test rows) of a one-feature line."""
-    marked = sampling.exact_split(ml_orders(spark, sf), 0.2, ["o_orderkey"])
+    marked = marked_orders(spark, sf)
     # one row: fetched once, so later passes do not fit again
     line = correlation.fit_line(marked.where("not is_test"), "price_k", "target").first()
     predicted = F.lit(line.intercept) + F.lit(line.slope) * F.col("price_k")
@@ -72,12 +86,12 @@ def evaluated_line(spark, sf):
 
 
 def small_forest(spark, sf):
-    train, _ = models.split(ml_orders(spark, sf), ["o_orderkey"])
+    train, _ = halves(spark, sf)
     return models.fit(models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5), train)
 
 
 def small_boosting(spark, sf):
-    train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
+    train, test = halves(spark, sf)
     return models.fit(models.gradient_boosting(ML_FEATURES, "target", rounds=5, max_depth=4), train), test
 
 
@@ -95,7 +109,7 @@ def ml1(spark, sf):
 SELECT o_orderkey, round((price_k - m1) / s1, 6) AS price_k, round((balance_k - m2) / s2, 6) AS balance_k
 FROM marked, (SELECT avg(price_k) m1, stddev_samp(price_k) s1, avg(balance_k) m2, stddev_samp(balance_k) s2 FROM marked WHERE NOT is_test)""")
 def ml2(spark, sf):
-    marked = sampling.exact_split(ml_orders(spark, sf), 0.2, ["o_orderkey"])
+    marked = marked_orders(spark, sf)
     out = models.standardise(marked, ["price_k", "balance_k"], ~F.col("is_test"))
     return out.select("o_orderkey", F.round("price_k", 6).alias("price_k"), F.round("balance_k", 6).alias("balance_k"))
 
@@ -113,7 +127,7 @@ def ml4(spark, sf):
 
 @query("ml5_random_forest")
 def ml5(spark, sf):
-    train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
+    train, test = halves(spark, sf)
     model = models.fit(models.random_forest(ML_FEATURES, "target", num_trees=8, max_depth=5), train)
     return evaluation.metrics(models.score(model, test, "target"))
 
@@ -168,7 +182,7 @@ def ml12(spark, sf):
 @query("ml8_linear_regression")
 def ml8_all(spark, sf):
     """All features, metrics on held-out rows."""
-    train, test = models.split(ml_orders(spark, sf), ["o_orderkey"])
+    train, test = halves(spark, sf)
     model = models.fit(models.linear(ML_FEATURES, "target"), train)
     return evaluation.metrics(models.score(model, test, "target"))
 

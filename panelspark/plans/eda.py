@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.functions import fixed_values as fv
 from panelspark.functions import scalars as S
 from panelspark.operators import correlation, histogram, quantiles, sampling, summary
+from panelspark.runtime import materialize
 from panelspark.sources import dimensions
 
 
@@ -15,7 +16,8 @@ def exploration(ml: DataFrame, sample_key: list[str] | None = None, target: str
     """Describe, histograms with centre lines, correlation triangle, trend line, box plot."""
     labelled = ml.withColumn("sector_label", S.decode("sector_enc", dimensions.sector_names()))
     fit = correlation.fit_line(ml, "temperature", target)
-    stats = quantiles.describe(ml, fv.HIST_COLUMNS, digits=None)
+    # one row per column, shared by two tables
+    stats = materialize(quantiles.describe(ml, fv.HIST_COLUMNS, digits=None), "describe")
     shown = [c for c, t in stats.dtypes if t == "double"]
     tables = {
         "describe": stats.withColumns({c: F.round(c, 2) for c in shown}),

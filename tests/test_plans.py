@@ -50,6 +50,15 @@ def test_weather_rows(weather):
     assert weather.columns == ["location", "population", "date", "temperature", "humidity", "weather_code"]
 
 
+def test_read_weather_files(spark, weather):
+    path = scratch_path(spark, "weather_json")
+    lines = [json.dumps({"location": c[0], "population": c[3], **json.loads(payload(i))}) for i, c in enumerate(fv.CITIES)]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = readers.read_weather(spark, path)
+    assert sorted(got.columns) == sorted(weather.columns)
+    assert got.select(weather.columns).exceptAll(weather).count() == 0
+
+
 def test_raw_panel(raw):
     assert raw.columns == fv.RAW_COLUMNS
     assert raw.count() == 18 * DAYS * 20
