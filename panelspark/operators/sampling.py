@@ -44,10 +44,10 @@ def _before(df: DataFrame, key: list[str], seed, k: Column) -> Column:
     if last is None:
         return F.lit(False)
     types = dict(df.dtypes)
-    h = row_hash(key, seed)
-    # equal hashes are decided by the key; written out so that the hash alone decides first
-    tie = F.struct(*key) <= F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in key])
-    return (h < last["h"]) | ((h == last["h"]) & tie)
+    # one struct comparison, so the hash is computed once per row; the key decides equal hashes
+    here = F.struct(row_hash(key, seed).alias("h"), *key)
+    edge = F.struct(F.lit(last["h"]).alias("h"), *[F.lit(last[c]).cast(types[c]).alias(c) for c in key])
+    return here <= edge
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed=42) -> DataFrame:
