@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from panelspark.llm import tables, tokens
 
 # Windows that a map task buffers before it sends them on.
-BUFFER = 1_500_000
+BUFFER = 600_000
 
 
 def _first_of_each(h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,10 +71,9 @@ def _send(width: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
-            texts = [tokens.encode(t) for t in batch["text"]]
             keys = batch["key"].to_numpy(np.int64)
-            for a, b in tokens.chunks(texts):
-                hashes, bounds = tokens.words(texts[a:b])
+            for a, b, texts in tokens.chunks(batch["text"]):
+                hashes, bounds = tokens.words(texts)
                 at, owner = tokens.windows_within(bounds, width)
                 held.append((tokens.window_hash(tokens.prefix_hash(hashes), width)[at], keys[a:b][owner],
                              (at - bounds[owner]).astype(np.int32)))
@@ -133,7 +132,7 @@ def _cut(width: int):
 
 
 def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 20,
-                            windows_per_range: int = 2_000_000) -> DataFrame:
+                            windows_per_range: int = 500_000) -> DataFrame:
     """Per row of ``docs``: what is left of its text once repeated windows are cut.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes when a window of ``width`` words that

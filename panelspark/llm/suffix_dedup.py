@@ -31,7 +31,7 @@ from panelspark.llm import tables, tokens
 
 GRAM = 64
 # Records that a map task buffers before it sends them on.
-BUFFER = 1_000_000
+BUFFER = 300_000
 REPEATED, WITNESS, JUDGE = 0, 1, 2
 
 
@@ -126,9 +126,9 @@ def _send_runs(depth: int, gram: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
-            texts, keys = [tokens.encode(t) for t in batch["text"]], batch["key"].to_numpy(np.int64)
-            for a, b in tokens.chunks(texts):
-                h, runs, owner, start, length = _suffix_runs(texts[a:b], depth, gram)
+            keys = batch["key"].to_numpy(np.int64)
+            for a, b, texts in tokens.chunks(batch["text"]):
+                h, runs, owner, start, length = _suffix_runs(texts, depth, gram)
                 held.append((h, runs, keys[a:b][owner], start, length))
                 size += len(h)
                 if size >= BUFFER:
@@ -203,8 +203,8 @@ def _send_suffixes(depth: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
-            texts = [tokens.encode(t) for t in batch["text"]]
-            for key, text, runs in zip(batch["key"], texts, batch["runs"], strict=True):
+            for key, text, runs in zip(batch["key"], batch["text"], batch["runs"], strict=True):
+                text = tokens.encode(text)
                 prefix = tokens.prefix_hash(tokens.byte_codes(np.frombuffer(text, dtype=np.uint8)))
                 for x in runs:
                     start, length = (c.astype(np.int64) for c in tokens.unpack(x["blob"], np.int32, np.int32))
@@ -256,7 +256,7 @@ def _cut(depth: int):
 
 
 def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 200,
-                          gram: int = GRAM, records_per_range: int = 1_000_000) -> DataFrame:
+                          gram: int = GRAM, records_per_range: int = 250_000) -> DataFrame:
     """Per row of ``docs``: its UTF-8 bytes without those in strings of ``depth`` bytes that occur twice.
 
     A byte goes when some ``depth``-byte string that covers it also starts anywhere else, in the same
@@ -280,7 +280,7 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         F.collect_list(F.when(F.col("kind") == REPEATED, F.col("blob"))).alias("marks"),
         F.collect_list(F.when(F.col("kind") != REPEATED, F.struct("kind", "blob"))).alias("runs"))
     still_open = rows.join(found.where(F.size("runs") > 0).select("key", "runs"), "key")
-    second = (still_open.mapInPandas(_send_suffixes(depth, max(1, ranges // 2)), _SCHEMA)
+    second = (still_open.mapInPandas(_send_suffixes(depth, max(1, size // 8 // records_per_range)), _SCHEMA)
               .repartition(F.col("range")).sortWithinPartitions("range")
               .mapInPandas(_deal(_judge_suffixes), "kind int, key long, blob binary")
               .groupBy("key").agg(F.collect_list("blob").alias("more")))

@@ -12,7 +12,7 @@ import numpy as np
 import zstandard
 
 # Bytes of text that are worked on at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -72,16 +72,18 @@ def encode(text) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
-def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``CHUNK_BYTES`` bytes each; a longer text stands alone."""
-    first = size = 0
+def chunks(texts) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of texts with about ``CHUNK_BYTES`` bytes each, encoded; a longer text stands alone."""
+    first, size, held = 0, 0, []
     for i, text in enumerate(texts):
-        if i > first and size + len(text) > CHUNK_BYTES:
-            yield first, i
-            first, size = i, 0
-        size += len(text) + 1
-    if first < len(texts):
-        yield first, len(texts)
+        data = encode(text)
+        if held and size + len(data) > CHUNK_BYTES:
+            yield first, i, held
+            first, size, held = i, 0, []
+        size += len(data) + 1
+        held.append(data)
+    if held:
+        yield first, first + len(held), held
 
 
 def lower_ascii(buffer: np.ndarray) -> np.ndarray:
