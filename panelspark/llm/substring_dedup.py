@@ -16,7 +16,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +51,16 @@ def _marks(doc: np.ndarray, start: np.ndarray) -> tuple[list[int], list[bytes]]:
     return [int(doc[a]) for a in cut], [tokens.pack(start[a:b]) for a, b in zip(cut, ends, strict=True)]
 
 
+_SENT = pa.schema([("range", pa.int64()), ("key", pa.int64()), ("blob", pa.binary())])
+_MARKS = pa.schema([("key", pa.int64()), ("blob", pa.binary())])
+_LEFT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+                   ("span_starts", pa.list_(pa.int32())), ("span_ends", pa.list_(pa.int32())), ("kept_text", pa.string())])
+
+
 def _send(width: int, ranges: int):
     """Pack the windows of a partition by hash range; marks found here travel beside them."""
 
-    def flush(held: list[tuple]) -> pd.DataFrame:
+    def flush(held: list[tuple]) -> pa.RecordBatch:
         h, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
         keep, dead = _first_of_each(h, doc, start)
         keep = keep[np.lexsort((start[keep], doc[keep]))]
@@ -66,13 +72,13 @@ def _send(width: int, ranges: int):
         rows = [(int(at[a]), None, tokens.pack(h[keep[a:b]], doc[keep[a:b]], start[keep[a:b]]))
                 for a, b in zip(cut, ends, strict=True)]
         rows += [(-1 - d % ranges, d, blob) for d, blob in zip(*_marks(doc[dead], start[dead]), strict=True)]
-        return pd.DataFrame(rows, columns=["range", "key", "blob"]).astype({"key": "Int64"})
+        return tokens.batch(_SENT, rows)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys = batch["key"].to_numpy(np.int64)
-            for a, b, texts in tokens.chunks(batch["text"]):
+            keys = batch["key"].to_numpy()
+            for a, b, texts in tokens.Texts(batch["text"]).chunks():
                 hashes, bounds = tokens.words(texts)
                 at, owner = tokens.windows_within(bounds, width)
                 held.append((tokens.window_hash(tokens.prefix_hash(hashes), width)[at], keys[a:b][owner],
@@ -87,47 +93,50 @@ def _send(width: int, ranges: int):
     return run
 
 
-def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by range; mark all but the first occurrence of every hash."""
 
-    def judged(held: list[bytes]) -> pd.DataFrame:
+    def judged(held: list[bytes]) -> pa.RecordBatch:
         h, doc, start = (np.concatenate(x) for x in
                          zip(*(tokens.unpack(b, np.uint64, np.int64, np.int32) for b in held), strict=True))
         _, dead = _first_of_each(h, doc, start)
-        keys, blobs = _marks(doc[dead], start[dead])
-        return pd.DataFrame({"key": np.array(keys, np.int64), "blob": blobs})
+        return tokens.batch(_MARKS, list(zip(*_marks(doc[dead], start[dead]), strict=True)))
 
     current, held = None, []
     for batch in batches:
-        found = batch["range"] < 0
-        if found.any():
-            yield batch.loc[found, ["key", "blob"]].astype({"key": "int64"})
-        for at, blob in zip(batch["range"][~found], batch["blob"][~found], strict=True):
-            if at != current and held:
+        places = batch["range"].to_numpy()
+        if (places < 0).any():
+            yield batch.filter(pa.array(places < 0)).select(_MARKS.names)
+        for i in np.flatnonzero(places >= 0):
+            if places[i] != current and held:
                 yield judged(held)
                 held = []
-            current = at
-            held.append(blob)
+            current = places[i]
+            held.append(batch["blob"][int(i)].as_py())
     if held:
         yield judged(held)
 
 
 def _cut(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, text, blobs in zip(batch["key"], batch["text"], batch["marks"], strict=True):
-                found = tokens.encode(text).split()
-                mask = np.zeros(len(found), dtype=bool)
-                if blobs is not None:
-                    starts = np.concatenate([tokens.unpack(b, np.int32)[0] for b in blobs])
-                    mask = tokens.covered(len(found), starts[starts <= len(found) - width], width)
-                kept = b" ".join([w for w, out in zip(found, mask, strict=True) if not out] if mask.any() else found)
-                edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
-                rows.append((key, len(found), int(mask.sum()), hashlib.sha256(kept).hexdigest(),
-                             edge[0::2].tolist(), edge[1::2].tolist(), kept.decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(rows, columns=["key", "n_words", "n_removed", "kept_sha256", "span_starts",
-                                              "span_ends", "kept_text"])
+            keys, marks = batch["key"].to_pylist(), batch["marks"]
+            for a, _, texts in tokens.Texts(batch["text"]).chunks():
+                rows = []
+                for i, text in enumerate(texts, a):
+                    found, removed, starts, ends = text.split(), 0, [], []
+                    n_words = len(found)
+                    if marks[i].is_valid:
+                        at = np.concatenate([tokens.unpack(b, np.int32)[0] for b in marks[i].as_py()])
+                        mask = tokens.covered(n_words, at[at <= n_words - width], width)
+                        removed = int(mask.sum())
+                        edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
+                        starts, ends = edge[0::2], edge[1::2]
+                        found = [w for w, out in zip(found, mask.tolist(), strict=True) if not out]
+                    kept = b" ".join(found)
+                    rows.append((keys[i], n_words, removed, hashlib.sha256(kept).hexdigest(), starts, ends,
+                                 kept.decode("utf-8", "surrogatepass")))
+                yield tokens.batch(_LEFT, rows)
     return run
 
 
@@ -147,11 +156,11 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """
     rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
     ranges = max(1, tables.text_bytes(docs, text) // 6 // windows_per_range)
-    sent = rows.mapInPandas(_send(width, ranges), "range long, key long, blob binary")
+    sent = rows.mapInArrow(_send(width, ranges), "range long, key long, blob binary")
     marks = (sent.repartition(F.col("range")).sortWithinPartitions("range")
-             .mapInPandas(_judge, "key long, blob binary")
+             .mapInArrow(_judge, "key long, blob binary")
              .groupBy("key").agg(F.collect_list("blob").alias("marks")))
-    cut = rows.join(marks, "key", "left").mapInPandas(
+    cut = rows.join(marks, "key", "left").mapInArrow(
         _cut(width), "key long, n_words long, n_removed long, kept_sha256 string, span_starts array<int>, "
                      "span_ends array<int>, kept_text string")
     return cut.select(tables.id_of(F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256",

@@ -23,7 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,17 +99,18 @@ def _ranged(h: np.ndarray, ranges: int, *columns: np.ndarray) -> list[tuple[int,
             for a, b in zip(cut, [*cut[1:], len(at)], strict=True)]
 
 
-_ROWS = ["range", "kind", "key", "blob"]
+_SENT = pa.schema([("range", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("blob", pa.binary())])
+_MARKS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("blob", pa.binary())])
 _SCHEMA = "range long, kind int, key long, blob binary"
 
 
-def _frame(packed: list[tuple], marks: list[tuple], ranges: int) -> pd.DataFrame:
-    rows = [(at, None, None, blob) for at, blob in packed] + [(-1 - d % ranges, k, d, blob) for k, d, blob in marks]
-    return pd.DataFrame(rows, columns=_ROWS).astype({"kind": "Int32", "key": "Int64"})
+def _frame(packed: list[tuple], marks: list[tuple], ranges: int) -> pa.RecordBatch:
+    return tokens.batch(_SENT, [(at, None, None, blob) for at, blob in packed]
+                        + [(-1 - d % ranges, k, d, blob) for k, d, blob in marks])
 
 
 def _send_runs(depth: int, gram: int, ranges: int):
-    def flush(held: list[tuple]) -> pd.DataFrame:
+    def flush(held: list[tuple]) -> pa.RecordBatch:
         h, run, doc, start, length = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((start, doc, run, h))
         head = _cuts(h[order], run[order])
@@ -123,11 +124,11 @@ def _send_runs(depth: int, gram: int, ranges: int):
         return _frame(_ranged(h[lead], ranges, run[lead], doc[lead], start[lead].astype(np.int32),
                               length[lead].astype(np.int32), twice[lead]), marks, ranges)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys = batch["key"].to_numpy(np.int64)
-            for a, b, texts in tokens.chunks(batch["text"]):
+            keys = batch["key"].to_numpy()
+            for a, b, texts in tokens.Texts(batch["text"]).chunks():
                 h, runs, owner, start, length = _suffix_runs(texts, depth, gram)
                 held.append((h, runs, keys[a:b][owner], start, length))
                 size += len(h)
@@ -143,21 +144,20 @@ def _send_runs(depth: int, gram: int, ranges: int):
 def _deal(judged):
     """Feed the blobs of each range to ``judged`` (rows come sorted by range); pass marks on."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["kind", "key", "blob"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            found = batch["range"] < 0
-            if found.any():
-                yield batch.loc[found, names].astype({"kind": "int32", "key": "int64"})
-            for at, blob in zip(batch["range"][~found], batch["blob"][~found], strict=True):
-                if at != current and held:
-                    yield pd.DataFrame(judged(held), columns=names)
+            places = batch["range"].to_numpy()
+            if (places < 0).any():
+                yield batch.filter(pa.array(places < 0)).select(_MARKS.names)
+            for i in np.flatnonzero(places >= 0):
+                if places[i] != current and held:
+                    yield tokens.batch(_MARKS, judged(held))
                     held = []
-                current = at
-                held.append(blob)
+                current = places[i]
+                held.append(batch["blob"][int(i)].as_py())
         if held:
-            yield pd.DataFrame(judged(held), columns=names)
+            yield tokens.batch(_MARKS, judged(held))
 
     return run
 
@@ -186,7 +186,7 @@ def _judge_runs(held: list[bytes]) -> list[tuple]:
 def _send_suffixes(depth: int, ranges: int):
     """Hash every suffix of the open runs."""
 
-    def flush(held: list[tuple]) -> pd.DataFrame:
+    def flush(held: list[tuple]) -> pa.RecordBatch:
         h, doc, start, kind = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((start, doc, kind, h))
         head = _cuts(h[order])
@@ -200,11 +200,12 @@ def _send_suffixes(depth: int, ranges: int):
         marks = _by_document(np.full(len(again), REPEATED), doc[again], start[again], np.ones(len(again), np.int64))
         return _frame(_ranged(h[lead], ranges, doc[lead], start[lead].astype(np.int32), twice[lead]), marks, ranges)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for key, text, runs in zip(batch["key"], batch["text"], batch["runs"], strict=True):
-                text = tokens.encode(text)
+            texts = tokens.Texts(batch["text"])
+            for i, key in enumerate(batch["key"].to_pylist()):
+                text, runs = texts[i], batch["runs"][i].as_py()
                 prefix = tokens.prefix_hash(tokens.byte_codes(np.frombuffer(text, dtype=np.uint8)))
                 for x in runs:
                     start, length = (c.astype(np.int64) for c in tokens.unpack(x["blob"], np.int32, np.int32))
@@ -233,25 +234,30 @@ def _judge_suffixes(held: list[bytes]) -> list[tuple]:
     return _by_document(np.full(len(at), REPEATED), doc[at], start[at], np.ones(len(at), np.int64))
 
 
+_LEFT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                   ("kept_sha256", pa.string()), ("span_starts", pa.list_(pa.int32())),
+                   ("span_ends", pa.list_(pa.int32())), ("kept_bytes", pa.binary())])
+
+
 def _cut(depth: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, text, blobs in zip(batch["key"], batch["text"], batch["marks"], strict=True):
-                data = tokens.encode(text)
-                kept, starts, ends = data, [], []
-                if blobs is not None:
-                    start, length = (np.concatenate(x).astype(np.int64) for x in
-                                     zip(*(tokens.unpack(b, np.int32, np.int32) for b in blobs), strict=True))
-                    fits = start + length + depth - 1 <= len(data)
-                    mask = tokens.covered(len(data), start[fits], length[fits] + depth - 1)
-                    edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
-                    starts, ends = edge[0::2].tolist(), edge[1::2].tolist()
-                    kept = np.frombuffer(data, np.uint8)[~mask].tobytes()
-                rows.append((key, len(data), len(data) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(),
-                             starts, ends, kept))
-            yield pd.DataFrame(rows, columns=["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts",
-                                              "span_ends", "kept_bytes"])
+            keys, marks = batch["key"].to_pylist(), batch["marks"]
+            for a, _, texts in tokens.Texts(batch["text"]).chunks():
+                rows = []
+                for i, data in enumerate(texts, a):
+                    kept, starts, ends = data, [], []
+                    if marks[i].is_valid:
+                        start, length = (np.concatenate(x).astype(np.int64) for x in zip(*(
+                            tokens.unpack(b, np.int32, np.int32) for b in marks[i].as_py()), strict=True))
+                        fits = start + length + depth - 1 <= len(data)
+                        mask = tokens.covered(len(data), start[fits], length[fits] + depth - 1)
+                        edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
+                        starts, ends = edge[0::2], edge[1::2]
+                        kept = np.frombuffer(data, np.uint8)[~mask].tobytes()
+                    rows.append((keys[i], len(data), len(data) - len(kept), len(starts),
+                                 hashlib.sha256(kept).hexdigest(), starts, ends, kept))
+                yield tokens.batch(_LEFT, rows)
     return run
 
 
@@ -273,20 +279,20 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
     size = tables.text_bytes(docs, text)
     ranges = max(1, 2 * size // (depth - gram + 2) // records_per_range)
-    first = (rows.mapInPandas(_send_runs(depth, gram, ranges), _SCHEMA)
+    first = (rows.mapInArrow(_send_runs(depth, gram, ranges), _SCHEMA)
              .repartition(F.col("range")).sortWithinPartitions("range")
-             .mapInPandas(_deal(_judge_runs), "kind int, key long, blob binary"))
+             .mapInArrow(_deal(_judge_runs), "kind int, key long, blob binary"))
     found = first.groupBy("key").agg(
         F.collect_list(F.when(F.col("kind") == REPEATED, F.col("blob"))).alias("marks"),
         F.collect_list(F.when(F.col("kind") != REPEATED, F.struct("kind", "blob"))).alias("runs"))
     still_open = rows.join(found.where(F.size("runs") > 0).select("key", "runs"), "key")
-    second = (still_open.mapInPandas(_send_suffixes(depth, max(1, size // 8 // records_per_range)), _SCHEMA)
+    second = (still_open.mapInArrow(_send_suffixes(depth, max(1, size // 8 // records_per_range)), _SCHEMA)
               .repartition(F.col("range")).sortWithinPartitions("range")
-              .mapInPandas(_deal(_judge_suffixes), "kind int, key long, blob binary")
+              .mapInArrow(_deal(_judge_suffixes), "kind int, key long, blob binary")
               .groupBy("key").agg(F.collect_list("blob").alias("more")))
     marks = found.select("key", "marks").join(second, "key", "left").select(
         "key", F.concat("marks", F.coalesce("more", F.array().cast("array<binary>"))).alias("marks"))
-    cut = rows.join(marks.where(F.size("marks") > 0), "key", "left").mapInPandas(
+    cut = rows.join(marks.where(F.size("marks") > 0), "key", "left").mapInArrow(
         _cut(depth), "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                      "span_starts array<int>, span_ends array<int>, kept_bytes binary")
     return cut.select(tables.id_of(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256",

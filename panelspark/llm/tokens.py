@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 # Bytes of text that are worked on at once.
 CHUNK_BYTES = 1 << 18
+# Texts that are worked on at once, if they are short.
+CHUNK_ROWS = 1000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -67,29 +70,47 @@ def byte_codes(buffer: np.ndarray) -> np.ndarray:
     return _BYTE_CODE[buffer]
 
 
-def encode(text) -> bytes:
-    """UTF-8 bytes of a text; null gives none."""
-    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+class Texts:
+    """The strings of an Arrow column as UTF-8 bytes, cut out one at a time; null gives none."""
 
+    def __init__(self, column: pa.Array):
+        _, offsets, data = column.buffers()
+        kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+        self.data = memoryview(data) if data is not None else memoryview(b"")
+        self.offsets = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1] if len(column) else [0]
 
-def chunks(texts) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Ranges of texts with about ``CHUNK_BYTES`` bytes each, encoded; a longer text stands alone."""
-    first, size, held = 0, 0, []
-    for i, text in enumerate(texts):
-        data = encode(text)
-        if held and size + len(data) > CHUNK_BYTES:
-            yield first, i, held
-            first, size, held = i, 0, []
-        size += len(data) + 1
-        held.append(data)
-    if held:
-        yield first, first + len(held), held
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
+
+    def __getitem__(self, i: int) -> bytes:
+        return bytes(self.data[self.offsets[i]:self.offsets[i + 1]])
+
+    def chunks(self) -> Iterator[tuple[int, int, list[bytes]]]:
+        """Ranges of texts with about ``CHUNK_BYTES`` bytes each; a longer text stands alone."""
+        first = 0
+        while first < len(self):
+            last = int(np.searchsorted(self.offsets, self.offsets[first] + CHUNK_BYTES, side="right")) - 1
+            last = min(max(last, first + 1), len(self), first + CHUNK_ROWS)
+            yield first, last, [self[i] for i in range(first, last)]
+            first = last
+
+
+def batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows as an Arrow batch."""
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def lower_ascii(buffer: np.ndarray) -> np.ndarray:
     return np.where((buffer >= 65) & (buffer <= 90), buffer + np.uint8(32), buffer)
 
 
+def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end in bytes that end with a space."""
+    edge = np.flatnonzero(np.diff((~_SPACE[buffer]).view(np.int8), prepend=np.int8(0)))
+    return edge[0::2], edge[1::2]
+
+
 def words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words ``[^\\x20\\x09-\\x0D]+`` of the texts, and where each text's words begin.
 
@@ -98,9 +119,7 @@ def words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarr
     buffer = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     if lower:
         buffer = lower_ascii(buffer)
-    solid = ~_SPACE[buffer]
-    edge = np.flatnonzero(np.diff(solid.view(np.int8), prepend=np.int8(0)))
-    starts, ends = edge[0::2], edge[1::2]
+    starts, ends = word_spans(buffer)
     hashes = span_hash(prefix_hash(byte_codes(buffer)), starts, ends)
     text_starts = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=text_starts[1:])
