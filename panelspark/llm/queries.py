@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from panelspark.llm import (
     chat,
     decontaminate,
     language,
     mixing,
+    near_dedup,
     pii,
     quality_rules,
     substring_dedup,
@@ -29,6 +31,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.score(docs.select("doc_id", "text"), model).select("doc_id", "junk_score", "abuse_score", "kept")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -67,6 +73,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal values, and how many were replaced."""
     masked = pii.mask(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,6 +84,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_classifier, op3_source_mixing, op4_chat_formatting, op5_suffix_array_dedup, op6_language_id,
-    op7_benchmark_decontamination, op8_quality_rules, op9_substring_dedup, op10_pii)}
+    op1_quality_classifier, op2_minhash_near_dedup, op3_source_mixing, op4_chat_formatting, op5_suffix_array_dedup,
+    op6_language_id, op7_benchmark_decontamination, op8_quality_rules, op9_substring_dedup, op10_pii, pipeline)}
 ORACLES: dict[str, str] = {}

@@ -168,8 +168,8 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100,
     return model
 
 
-def fit_scorer(rows: list[np.ndarray], target: np.ndarray, least: int = 5, sure: float = 4.0, rounds: int = 400,
-               penalty: float = 1e-3, rate: float = 2.0) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_scorer(rows: list[np.ndarray], target: np.ndarray, least: int = 5, sure: float = 4.0, rounds: int = 800,
+               penalty: float = 1e-4, rate: float = 6.0) -> tuple[np.ndarray, np.ndarray, float]:
     """Logistic regression on the presence of hashed features; target values lie between 0 and 1.
 
     Features of fewer than ``least`` rows, and those whose share of bad rows lies within ``sure`` standard errors of
