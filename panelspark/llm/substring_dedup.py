@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm import tables, tokens
+from panelspark.llm import ranges, tables, tokens
 
 # Windows that a map task buffers before it sends them on.
 BUFFER = 600_000
@@ -42,37 +42,20 @@ def _first_of_each(h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[n
     return np.concatenate([single, many[head]]), many[later]
 
 
-def _marks(doc: np.ndarray, start: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """One blob of sorted starts per document."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
-    cut = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1 if len(doc) else 0)) if len(doc) else []
-    ends = [*cut[1:], len(doc)] if len(doc) else []
-    return [int(doc[a]) for a in cut], [tokens.pack(start[a:b]) for a, b in zip(cut, ends, strict=True)]
-
-
-_SENT = pa.schema([("range", pa.int64()), ("key", pa.int64()), ("blob", pa.binary())])
-_MARKS = pa.schema([("key", pa.int64()), ("blob", pa.binary())])
+_MARKS = pa.schema([("key", pa.int64()), ("marks", pa.binary())])
 _LEFT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                    ("span_starts", pa.list_(pa.int32())), ("span_ends", pa.list_(pa.int32())), ("kept_text", pa.string())])
 
 
-def _send(width: int, ranges: int):
+def _send(width: int, n_ranges: int):
     """Pack the windows of a partition by hash range; marks found here travel beside them."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
         h, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
         keep, dead = _first_of_each(h, doc, start)
         keep = keep[np.lexsort((start[keep], doc[keep]))]
-        at = (h[keep] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-        keep = keep[np.argsort(at.astype(np.int64), kind="stable")]
-        at = np.sort(at.astype(np.int64))
-        cut = np.flatnonzero(np.diff(at, prepend=-1))
-        ends = [*cut[1:], len(at)]
-        rows = [(int(at[a]), None, tokens.pack(h[keep[a:b]], doc[keep[a:b]], start[keep[a:b]]))
-                for a, b in zip(cut, ends, strict=True)]
-        rows += [(-1 - d % ranges, d, blob) for d, blob in zip(*_marks(doc[dead], start[dead]), strict=True)]
-        return tokens.batch(_SENT, rows)
+        return tokens.batch(ranges.SENT, ranges.by_hash(n_ranges, h[keep], doc[keep], start[keep])
+                            + ranges.by_home(n_ranges, doc[dead], start[dead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -93,28 +76,23 @@ def _send(width: int, ranges: int):
     return run
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by range; mark all but the first occurrence of every hash."""
-
+def _judge(n_ranges: int):
+    """Mark all but the first occurrence of every hash."""
     def judged(held: list[bytes]) -> pa.RecordBatch:
-        h, doc, start = (np.concatenate(x) for x in
-                         zip(*(tokens.unpack(b, np.uint64, np.int64, np.int32) for b in held), strict=True))
+        h, doc, start = ranges.columns_of(held, np.uint64, np.int64, np.int32)
         _, dead = _first_of_each(h, doc, start)
-        return tokens.batch(_MARKS, list(zip(*_marks(doc[dead], start[dead]), strict=True)))
-
-    current, held = None, []
-    for batch in batches:
-        places = batch["range"].to_numpy()
-        if (places < 0).any():
-            yield batch.filter(pa.array(places < 0)).select(_MARKS.names)
-        for i in np.flatnonzero(places >= 0):
-            if places[i] != current and held:
-                yield judged(held)
-                held = []
-            current = places[i]
-            held.append(batch["blob"][int(i)].as_py())
-    if held:
-        yield judged(held)
+        return tokens.batch(ranges.SENT, ranges.by_home(n_ranges, doc[dead], start[dead]))
+    return judged
+
+
+def _gather(held: list[bytes]) -> pa.RecordBatch:
+    """The marked starts of every document."""
+    doc, start = ranges.columns_of(held, np.int64, np.int32)
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    cut = np.flatnonzero(ranges.heads(doc))
+    return tokens.batch(_MARKS, [(int(doc[a]), tokens.pack(start[a:b]))
+                                 for a, b in ranges.slices(cut, len(doc))])
 
 
 def _cut(width: int):
@@ -127,7 +105,7 @@ def _cut(width: int):
                     found, removed, starts, ends = text.split(), 0, [], []
                     n_words = len(found)
                     if marks[i].is_valid:
-                        at = np.concatenate([tokens.unpack(b, np.int32)[0] for b in marks[i].as_py()])
+                        at = tokens.unpack(marks[i].as_py(), np.int32)[0]
                         mask = tokens.covered(n_words, at[at <= n_words - width], width)
                         removed = int(mask.sum())
                         edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
@@ -155,11 +133,10 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     ``doc_id`` sorts first. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
-    ranges = max(1, tables.text_bytes(docs, text) // 6 // windows_per_range)
-    sent = rows.mapInArrow(_send(width, ranges), "range long, key long, blob binary")
-    marks = (sent.repartition(F.col("range")).sortWithinPartitions("range")
-             .mapInArrow(_judge, "key long, blob binary")
-             .groupBy("key").agg(F.collect_list("blob").alias("marks")))
+    n_ranges = max(1, tables.text_bytes(docs, text) // 6 // windows_per_range)
+    found = ranges.exchange(rows.mapInArrow(_send(width, n_ranges), ranges.SCHEMA)).mapInArrow(
+        ranges.owned(_judge(n_ranges)), ranges.SCHEMA)
+    marks = ranges.exchange(found).mapInArrow(ranges.at_home(_gather), "key long, marks binary")
     cut = rows.join(marks, "key", "left").mapInArrow(
         _cut(width), "key long, n_words long, n_removed long, kept_sha256 string, span_starts array<int>, "
                      "span_ends array<int>, kept_text string")

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm import tables, tokens
+from panelspark.llm import ranges, tables, tokens
+from panelspark.runtime import materialize
 
 GRAM = 64
 # Records that a map task buffers before it sends them on.
@@ -70,59 +71,37 @@ def _suffix_runs(texts: list[bytes], depth: int, gram: int):
     begin, owner, anchor = start[at], owner[at], anchor[at]
     body = tokens.span_hash(prefix, begin, begin + length + depth - 1)
     run = tokens.mix(body + tokens.mix((anchor - begin).astype(np.uint64)))
-    return grams[anchor], run, owner, begin - first[owner], length
+    return tokens.mix(grams[anchor]), run, owner, begin - first[owner], length
 
 
-def _cuts(*sorted_keys: np.ndarray) -> np.ndarray:
-    head = np.ones(len(sorted_keys[0]), dtype=bool)
-    head[1:] = np.any([k[1:] != k[:-1] for k in sorted_keys], axis=0)
-    return head
+_FOUND = pa.schema([("key", pa.int64()), ("marks", pa.binary()), ("runs", pa.binary())])
 
 
-def _by_document(kind: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[tuple]:
-    """(kind, document, blob of starts and lengths) rows."""
-    order = np.lexsort((start, doc, kind))
+def _findings(homes: int, kind: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[tuple]:
+    """Findings for their homes; neighbouring runs of one kind become one."""
+    order = np.lexsort((start, kind, doc))
     kind, doc, start, length = kind[order], doc[order], start[order], length[order]
-    at = np.flatnonzero(_cuts(kind, doc)) if len(doc) else []
-    ends = [*at[1:], len(doc)] if len(doc) else []
-    return [(int(kind[a]), int(doc[a]), tokens.pack(start[a:b].astype(np.int32), length[a:b].astype(np.int32)))
-            for a, b in zip(at, ends, strict=True)]
-
-
-def _ranged(h: np.ndarray, ranges: int, *columns: np.ndarray) -> list[tuple[int, bytes]]:
-    """Records packed by hash range, in the order of their documents within a range."""
-    at = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(at, kind="stable")
-    at, columns = at[order], [c[order] for c in (h, *columns)]
-    cut = np.flatnonzero(np.diff(at, prepend=-1))
-    return [(int(at[a]), tokens.pack(*(c[a:b] for c in columns)))
-            for a, b in zip(cut, [*cut[1:], len(at)], strict=True)]
-
-
-_SENT = pa.schema([("range", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("blob", pa.binary())])
-_MARKS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("blob", pa.binary())])
-_SCHEMA = "range long, kind int, key long, blob binary"
-
-
-def _frame(packed: list[tuple], marks: list[tuple], ranges: int) -> pa.RecordBatch:
-    return tokens.batch(_SENT, [(at, None, None, blob) for at, blob in packed]
-                        + [(-1 - d % ranges, k, d, blob) for k, d, blob in marks])
+    head = ranges.heads(doc, kind)
+    head[1:] |= start[1:] != start[:-1] + length[:-1]
+    at = np.flatnonzero(head)
+    total = np.add.reduceat(length, at) if len(at) else length
+    return ranges.by_home(homes, doc[at], start[at].astype(np.int32), total.astype(np.int32), kind[at].astype(np.uint8))
 
 
-def _send_runs(depth: int, gram: int, ranges: int):
+def _send_runs(depth: int, gram: int, n_ranges: int):
     def flush(held: list[tuple]) -> pa.RecordBatch:
         h, run, doc, start, length = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((start, doc, run, h))
-        head = _cuts(h[order], run[order])
+        head = ranges.heads(h[order], run[order])
         size = np.diff(np.flatnonzero(head), append=len(order))
         many = np.repeat(size > 1, size)
         lead, again = order[head], order[many]
         twice = np.zeros(len(h), dtype=np.uint8)
         twice[lead] = size > 1
         lead = lead[np.lexsort((start[lead], doc[lead]))]
-        marks = _by_document(np.full(len(again), REPEATED), doc[again], start[again], length[again])
-        return _frame(_ranged(h[lead], ranges, run[lead], doc[lead], start[lead].astype(np.int32),
-                              length[lead].astype(np.int32), twice[lead]), marks, ranges)
+        marks = _findings(n_ranges, np.full(len(again), REPEATED), doc[again], start[again], length[again])
+        return tokens.batch(ranges.SENT, marks + ranges.by_hash(
+            n_ranges, h[lead], run[lead], doc[lead], start[lead].astype(np.int32), length[lead].astype(np.int32), twice[lead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -141,33 +120,15 @@ def _send_runs(depth: int, gram: int, ranges: int):
     return run
 
 
-def _deal(judged):
-    """Feed the blobs of each range to ``judged`` (rows come sorted by range); pass marks on."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-        for batch in batches:
-            places = batch["range"].to_numpy()
-            if (places < 0).any():
-                yield batch.filter(pa.array(places < 0)).select(_MARKS.names)
-            for i in np.flatnonzero(places >= 0):
-                if places[i] != current and held:
-                    yield tokens.batch(_MARKS, judged(held))
-                    held = []
-                current = places[i]
-                held.append(batch["blob"][int(i)].as_py())
-        if held:
-            yield tokens.batch(_MARKS, judged(held))
-
-    return run
+def _judge_runs(n_ranges: int):
+    return lambda held: tokens.batch(ranges.SENT, _findings(n_ranges, *_judged_runs(held)))
 
 
-def _judge_runs(held: list[bytes]) -> list[tuple]:
-    h, run, doc, start, length, twice = (np.concatenate(x) for x in zip(*(tokens.unpack(
-        b, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.uint8) for b in held), strict=True))
+def _judged_runs(held: list[bytes]) -> tuple:
+    h, run, doc, start, length, twice = ranges.columns_of(held, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.uint8)
     order = np.lexsort((run, h))
     h, run, doc, start, length, twice = (x[order] for x in (h, run, doc, start, length, twice))
-    anchor, head = _cuts(h), _cuts(h, run)
+    anchor, head = ranges.heads(h), ranges.heads(h, run)
     size = np.diff(np.flatnonzero(head), append=len(h))
     seen = np.maximum.reduceat(twice, np.flatnonzero(head))
     equal = np.repeat((size > 1) | (seen > 0), size)
@@ -180,16 +141,29 @@ def _judge_runs(held: list[bytes]) -> list[tuple]:
     picks = [np.flatnonzero(kind == REPEATED), np.flatnonzero(apart & ~equal), np.flatnonzero(open_here & equal & head)]
     at = np.concatenate(picks)
     kinds = np.repeat([REPEATED, JUDGE, WITNESS], [len(p) for p in picks])
-    return _by_document(kinds, doc[at], start[at], length[at])
+    return kinds, doc[at], start[at], length[at]
 
 
-def _send_suffixes(depth: int, ranges: int):
+def _gather(held: list[bytes]) -> pa.RecordBatch:
+    """Marked runs and open runs of every document."""
+    doc, start, length, kind = ranges.columns_of(held, np.int64, np.int32, np.int32, np.uint8)
+    order = np.lexsort((start, doc))
+    doc, start, length, kind = doc[order], start[order], length[order], kind[order]
+    cut, rows = np.flatnonzero(ranges.heads(doc)), []
+    for a, b in ranges.slices(cut, len(doc)):
+        done = kind[a:b] == REPEATED
+        rows.append((int(doc[a]), tokens.pack(start[a:b][done], length[a:b][done]) if done.any() else None,
+                     None if done.all() else tokens.pack(start[a:b][~done], length[a:b][~done], kind[a:b][~done])))
+    return tokens.batch(_FOUND, rows)
+
+
+def _send_suffixes(depth: int, n_ranges: int):
     """Hash every suffix of the open runs."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
         h, doc, start, kind = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((start, doc, kind, h))
-        head = _cuts(h[order])
+        head = ranges.heads(h[order])
         size = np.diff(np.flatnonzero(head), append=len(order))
         many = np.repeat(size > 1, size)
         lead, again = order[head], order[many]
@@ -197,23 +171,24 @@ def _send_suffixes(depth: int, ranges: int):
         twice = np.zeros(len(h), dtype=np.uint8)
         twice[lead] = (size > 1) | (kind[lead] == WITNESS)
         lead = lead[np.lexsort((start[lead], doc[lead]))]
-        marks = _by_document(np.full(len(again), REPEATED), doc[again], start[again], np.ones(len(again), np.int64))
-        return _frame(_ranged(h[lead], ranges, doc[lead], start[lead].astype(np.int32), twice[lead]), marks, ranges)
+        marks = _findings(n_ranges, np.full(len(again), REPEATED), doc[again], start[again], np.ones(len(again), np.int64))
+        return tokens.batch(ranges.SENT, marks + ranges.by_hash(
+            n_ranges, h[lead], doc[lead], start[lead].astype(np.int32), twice[lead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             texts = tokens.Texts(batch["text"])
             for i, key in enumerate(batch["key"].to_pylist()):
-                text, runs = texts[i], batch["runs"][i].as_py()
+                text = texts[i]
                 prefix = tokens.prefix_hash(tokens.byte_codes(np.frombuffer(text, dtype=np.uint8)))
-                for x in runs:
-                    start, length = (c.astype(np.int64) for c in tokens.unpack(x["blob"], np.int32, np.int32))
-                    at = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
-                    at = at[at + depth <= len(text)]
-                    held.append((tokens.span_hash(prefix, at, at + depth), np.full(len(at), key, np.int64), at,
-                                 np.full(len(at), x["kind"], np.uint8)))
-                    size += len(at)
+                start, length, kind = tokens.unpack(batch["runs"][i].as_py(), np.int32, np.int32, np.uint8)
+                start, length = start.astype(np.int64), length.astype(np.int64)
+                at = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
+                kind = np.repeat(kind, length)[at + depth <= len(text)]
+                at = at[at + depth <= len(text)]
+                held.append((tokens.span_hash(prefix, at, at + depth), np.full(len(at), key, np.int64), at, kind))
+                size += len(at)
                 if size >= BUFFER:
                     yield flush(held)
                     held, size = [], 0
@@ -223,15 +198,18 @@ def _send_suffixes(depth: int, ranges: int):
     return run
 
 
-def _judge_suffixes(held: list[bytes]) -> list[tuple]:
+def _judge_suffixes(n_ranges: int):
     """A record is marked when its suffix has company; those marked before travel as company only."""
-    h, doc, start, twice = (np.concatenate(x) for x in zip(*(tokens.unpack(
-        b, np.uint64, np.int64, np.int32, np.uint8) for b in held), strict=True))
+    return lambda held: tokens.batch(ranges.SENT, _findings(n_ranges, *_judged_suffixes(held)))
+
+
+def _judged_suffixes(held: list[bytes]) -> tuple:
+    h, doc, start, twice = ranges.columns_of(held, np.uint64, np.int64, np.int32, np.uint8)
     order = np.argsort(h, kind="stable")
     h, doc, start, twice = h[order], doc[order], start[order], twice[order]
-    size = np.diff(np.flatnonzero(_cuts(h)), append=len(h))
+    size = np.diff(np.flatnonzero(ranges.heads(h)), append=len(h))
     at = np.flatnonzero(np.repeat(size > 1, size) & (twice == 0))
-    return _by_document(np.full(len(at), REPEATED), doc[at], start[at], np.ones(len(at), np.int64))
+    return np.full(len(at), REPEATED), doc[at], start[at], np.ones(len(at), np.int64)
 
 
 _LEFT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -242,14 +220,14 @@ _LEFT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", p
 def _cut(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, marks = batch["key"].to_pylist(), batch["marks"]
+            keys, marks, more = batch["key"].to_pylist(), batch["marks"].to_pylist(), batch["more"].to_pylist()
             for a, _, texts in tokens.Texts(batch["text"]).chunks():
                 rows = []
                 for i, data in enumerate(texts, a):
                     kept, starts, ends = data, [], []
-                    if marks[i].is_valid:
-                        start, length = (np.concatenate(x).astype(np.int64) for x in zip(*(
-                            tokens.unpack(b, np.int32, np.int32) for b in marks[i].as_py()), strict=True))
+                    blobs = [b for b in (marks[i], more[i]) if b is not None]
+                    if blobs:
+                        start, length = (c.astype(np.int64) for c in ranges.columns_of(blobs, np.int32, np.int32))
                         fits = start + length + depth - 1 <= len(data)
                         mask = tokens.covered(len(data), start[fits], length[fits] + depth - 1)
                         edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0))
@@ -278,21 +256,19 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         raise ValueError("gram must lie between 1 and depth")
     rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
     size = tables.text_bytes(docs, text)
-    ranges = max(1, 2 * size // (depth - gram + 2) // records_per_range)
-    first = (rows.mapInArrow(_send_runs(depth, gram, ranges), _SCHEMA)
-             .repartition(F.col("range")).sortWithinPartitions("range")
-             .mapInArrow(_deal(_judge_runs), "kind int, key long, blob binary"))
-    found = first.groupBy("key").agg(
-        F.collect_list(F.when(F.col("kind") == REPEATED, F.col("blob"))).alias("marks"),
-        F.collect_list(F.when(F.col("kind") != REPEATED, F.struct("kind", "blob"))).alias("runs"))
-    still_open = rows.join(found.where(F.size("runs") > 0).select("key", "runs"), "key")
-    second = (still_open.mapInArrow(_send_suffixes(depth, max(1, size // 8 // records_per_range)), _SCHEMA)
-              .repartition(F.col("range")).sortWithinPartitions("range")
-              .mapInArrow(_deal(_judge_suffixes), "kind int, key long, blob binary")
-              .groupBy("key").agg(F.collect_list("blob").alias("more")))
-    marks = found.select("key", "marks").join(second, "key", "left").select(
-        "key", F.concat("marks", F.coalesce("more", F.array().cast("array<binary>"))).alias("marks"))
-    cut = rows.join(marks.where(F.size("marks") > 0), "key", "left").mapInArrow(
+    n_ranges = max(1, 2 * size // (depth - gram + 2) // records_per_range)
+    first = ranges.exchange(rows.mapInArrow(_send_runs(depth, gram, n_ranges), ranges.SCHEMA)).mapInArrow(
+        ranges.owned(_judge_runs(n_ranges)), ranges.SCHEMA)
+    found = materialize(ranges.exchange(first).mapInArrow(ranges.at_home(_gather), "key long, marks binary, runs binary"),
+                        "found")
+    n_ranges = max(1, size // 8 // records_per_range)
+    still_open = rows.join(found.where("runs is not null").select("key", "runs"), "key")
+    second = ranges.exchange(still_open.mapInArrow(_send_suffixes(depth, n_ranges), ranges.SCHEMA)).mapInArrow(
+        ranges.owned(_judge_suffixes(n_ranges)), ranges.SCHEMA)
+    more = ranges.exchange(second).mapInArrow(ranges.at_home(_gather), "key long, marks binary, runs binary")
+    marks = found.where("marks is not null").select("key", "marks").join(
+        more.select("key", F.col("marks").alias("more")), "key", "full")
+    cut = rows.join(marks, "key", "left").mapInArrow(
         _cut(depth), "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                      "span_starts array<int>, span_ends array<int>, kept_bytes binary")
     return cut.select(tables.id_of(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256",
