@@ -168,29 +168,55 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100,
     return model
 
 
-def fit_scorer(rows: list[np.ndarray], target: np.ndarray, least: int = 5, sure: float = 4.0, rounds: int = 800,
-               penalty: float = 1e-4, rate: float = 6.0) -> tuple[np.ndarray, np.ndarray, float]:
+@dataclass
+class Sample:
+    """Sample rows: features that at least ``least`` rows have, as positions in ``names``, with their owners."""
+
+    names: np.ndarray
+    at: np.ndarray
+    owner: np.ndarray
+    n: int
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray], least: int = 5) -> Sample:
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+        flat.sort()
+        edge = np.flatnonzero(np.diff(flat, prepend=~flat[:1]) != 0) if len(flat) else np.zeros(0, np.int64)
+        names = flat[edge[np.diff(edge, append=len(flat)) >= least]]
+        del flat
+        at, owner = [], []
+        for i, row in enumerate(rows if len(names) else []):
+            place = np.minimum(np.searchsorted(names, row), len(names) - 1)
+            at.append(place[names[place] == row].astype(np.int32))
+            owner.append(np.full(len(at[-1]), i, dtype=np.int32))
+        none = [np.zeros(0, np.int32)]
+        return cls(names, np.concatenate(at or none), np.concatenate(owner or none), len(rows))
+
+    def counts(self, weight: np.ndarray) -> np.ndarray:
+        """Per feature the sum of a weight of its rows."""
+        return np.bincount(self.at, weight[self.owner], minlength=len(self.names))
+
+
+def fit_scorer(sample: Sample, target: np.ndarray, sure: float = 4.0, rounds: int = 800, penalty: float = 1e-4,
+               rate: float = 6.0) -> tuple[np.ndarray, np.ndarray, float]:
     """Logistic regression on the presence of hashed features; target values lie between 0 and 1.
 
-    Features of fewer than ``least`` rows, and those whose share of bad rows lies within ``sure`` standard errors of
-    the overall share, are left out. Full-batch steps with a rate per weight. Returns sorted features, weights, bias.
+    Features whose share of bad rows lies within ``sure`` standard errors of the overall share are left out.
+    Full-batch steps with a rate per weight. Returns sorted features, weights and bias.
     """
-    if not len(rows):
+    if not sample.n:
         return np.zeros(0, np.uint64), np.zeros(0), -10.0
-    sizes = np.array([len(r) for r in rows])
-    owner, flat = np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows)
-    names, at, n = np.unique(flat, return_inverse=True, return_counts=True)
     share = np.clip(target.mean(), 1e-3, 1 - 1e-3)
-    bad = np.bincount(at, target[owner], minlength=len(names))
-    keep = (n >= least) & (np.abs(bad - n * share) > sure * np.sqrt(n * share * (1 - share)))
-    known, names = keep[at], names[keep]
-    at, owner = (np.cumsum(keep) - 1)[at[known]], owner[known]
+    n, bad = sample.counts(np.ones(sample.n)), sample.counts(target)
+    keep = np.abs(bad - n * share) > sure * np.sqrt(n * share * (1 - share))
+    known, names = keep[sample.at], sample.names[keep]
+    at, owner = (np.cumsum(keep) - 1)[sample.at[known]], sample.owner[known]
     w, square, bias, bias_square = np.zeros(len(names)), np.full(len(names), 1e-12), np.log(share / (1 - share)), 1e-12
-    scale = rate / max(1.0, np.sqrt(len(at) / len(rows)))
+    scale = rate / max(1.0, np.sqrt(len(at) / sample.n))
     for _ in range(rounds):
-        z = np.bincount(owner, w[at], minlength=len(rows)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - target) / len(rows)
-        g = np.bincount(at, error[owner], minlength=len(names)) + penalty * w / len(rows)
+        z = np.bincount(owner, w[at], minlength=sample.n) + bias
+        error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - target) / sample.n
+        g = np.bincount(at, error[owner], minlength=len(names)) + penalty * w / sample.n
         square += g * g
         w -= scale * g / np.sqrt(square)
         bias_square += error.sum() ** 2
@@ -198,19 +224,10 @@ def fit_scorer(rows: list[np.ndarray], target: np.ndarray, least: int = 5, sure:
     return names, w, float(bias)
 
 
-def markers_of(rows: list[np.ndarray], given: np.ndarray, least: int = 6, purity: float = 0.95) -> np.ndarray:
+def markers_of(sample: Sample, given: np.ndarray, least: int = 6, purity: float = 0.95) -> np.ndarray:
     """Features that stand almost only in documents given as bad."""
-    if not (given == BAD).any():
-        return np.zeros(0, np.uint64)
-    bad, n = np.unique(np.concatenate([r for r, g in zip(rows, given, strict=True) if g == BAD]), return_counts=True)
-    bad, n = bad[n >= least], n[n >= least]
-    fine = [r for r, g in zip(rows, given, strict=True) if g == FINE]
-    other = np.zeros(len(bad), dtype=np.int64)
-    if fine and len(bad):
-        flat = np.concatenate(fine)
-        at = np.minimum(np.searchsorted(bad, flat), len(bad) - 1)
-        other = np.bincount(at[bad[at] == flat], minlength=len(bad))
-    return bad[n >= purity * (n + other)]
+    bad, fine = sample.counts((given == BAD).astype(float)), sample.counts((given == FINE).astype(float))
+    return sample.names[(bad >= least) & (bad >= purity * (bad + fine))]
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +287,7 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
-        toxic: str = "toxic", sample_rows: int = 8000, seed: int = 42) -> QualityModel:
+        toxic: str = "toxic", sample_rows: int = 6000, seed: int = 42) -> QualityModel:
     """Fit label models on the votes of all documents, and scorers on a sample of ``sample_rows`` rows.
 
     Three quarters of the sample are labelled rows, where there are so many; the choice follows a hash of the
@@ -286,15 +303,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     labelled = given.orderBy(order, "key").limit(3 * sample_rows // 4)
     picked = labelled.select("key").unionByName(rows.select("key").orderBy(order, "key").limit(sample_rows // 4)).distinct()
     picked = sorted(r["key"] for r in picked.collect())  # at most ``sample_rows`` identifiers
-    few = docs.sparkSession.createDataFrame([(k,) for k in picked], "key long")
-    sample = (rows.join(F.broadcast(few), "key").dropDuplicates(["key"])
+    chosen = docs.sparkSession.createDataFrame([(k,) for k in picked], "key long")
+    sample = (rows.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
               .mapInArrow(_sample_features, "key long, n_words long, style array<double>, features binary")
               .join(labelled, "key", "left")
               .select("key", "n_words", "style", "features", *[F.coalesce(c, F.lit(NONE)).alias(c) for c in ("bad_quality", "toxic")])
               .collect())
     sample.sort(key=lambda r: r["key"])
     held = [np.frombuffer(r["features"], np.uint64) for r in sample]
-    marks = markers_of(held, np.array([r["toxic"] for r in sample], dtype=np.int64))
+    few = Sample.of(held)
+    marks = markers_of(few, np.array([r["toxic"] for r in sample], dtype=np.int64))
 
     counts = (rows.mapInArrow(_cast_votes(marks), "key long, junk int, abuse int").join(given, "key", "left")
               .groupBy("junk", "abuse", F.coalesce("bad_quality", F.lit(NONE)).alias("bad_quality"),
@@ -303,13 +321,16 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     counts = sorted(tuple(r) for r in counts)
     table = np.array(counts, dtype=np.int64).reshape(-1, 5)
     accuracy, fitted = {}, []
-    if len(held):
-        owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
-        mine = votes(np.concatenate(held), owner, np.array([r["style"] for r in sample]),
-                     np.array([r["n_words"] for r in sample]), marks)
+    mine = [[], []]
+    for a in range(0, len(held), 200):
+        part = sample[a:a + 200]
+        cast = votes(np.concatenate(held[a:a + 200]), np.repeat(np.arange(len(part)), [len(h) for h in held[a:a + 200]]),
+                     np.array([r["style"] for r in part]), np.array([r["n_words"] for r in part]), marks)
+        for m in range(2):
+            mine[m].append(cast[m])
     for m, (labellers, label) in enumerate(((JUNK_LABELLERS, "bad_quality"), (ABUSE_LABELLERS, "toxic"))):
         if not len(held):
-            fitted.append(fit_scorer([], np.zeros(0)))
+            fitted.append(fit_scorer(few, np.zeros(0)))
             continue
         model = fit_label_model(_unpacked(table[:, m], table[:, 2 + m], labellers), table[:, 4])
         for j, name in enumerate(labellers):
@@ -317,8 +338,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             right = (1 - model.prior) * said[0, FINE] + model.prior * said[1, BAD]
             accuracy[f"{('junk', 'abuse')[m]}_{name}"] = float(right / ((1 - model.prior) * said[0].sum() + model.prior * said[1].sum()))
         mine_given = np.array([r[label] for r in sample], dtype=np.int64)
-        target = model.posterior(np.concatenate([mine[m], mine_given[:, None]], axis=1))
-        fitted.append(fit_scorer(held, target))
+        target = model.posterior(np.concatenate([np.concatenate(mine[m]), mine_given[:, None]], axis=1))
+        fitted.append(fit_scorer(few, target))
     features = np.unique(np.concatenate([f[0] for f in fitted]))
     weights = np.zeros((len(features), 2))
     for m, (names, w, _) in enumerate(fitted):
