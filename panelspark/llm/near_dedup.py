@@ -8,8 +8,8 @@ that equals their weighted Jaccard similarity. Processes stop once they are late
 
 Texts that agree in all registers of a band share a bucket. The node with most company leads its
 bucket and is compared with all members on the real multisets; what links there is one component. Members
-of a bucket that are still in different components are compared by their registers, in blocks, and pairs
-that may reach the threshold are verified on the multisets again. No list of all pairs is ever made.
+of a bucket that are still in different components are compared with each other on the multisets as well, in
+blocks inside tasks; only links that join components leave a task. No list of pairs is ever made.
 
 Scale: equal texts are one node; signatures, buckets, links and labels are tables in the shared folder;
 hot buckets are cut into blocks of ``BLOCK`` members that go to different tasks.
@@ -33,9 +33,7 @@ SHINGLE = 5
 # Bands times rows are the registers. At a similarity of 0.8 a pair shares no bucket with probability 5e-6.
 BANDS, ROWS = 40, 6
 # Members of one bucket that one task compares with each other.
-BLOCK = 1024
-# Registers are sketches of the similarity: at 0.8 fewer than this share agree with probability 1e-8.
-SKETCH = 0.65
+BLOCK = 256
 
 
 def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,8 +111,7 @@ def overlap(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 def _sign(bands: int, rows: int):
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("bands", pa.list_(pa.int64())),
-                        ("sketch", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,11 +123,10 @@ def _sign(bands: int, rows: int):
                 for r in range(rows):
                     keys = tokens.mix(keys + points[:, r::rows])
                 keys = tokens.mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
-                sketch = tokens.mix(points).astype(np.uint8)
                 of_bands = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * bands, pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["key"].slice(a, b - a), batch["node"].slice(a, b - a), pa.array(size), of_bands,
-                     pa.array([s.tobytes() for s in sketch], pa.binary())], schema=schema)
+                    [batch["key"].slice(a, b - a), batch["node"].slice(a, b - a), pa.array(size), of_bands],
+                    schema=schema)
     return run
 
 
@@ -166,37 +162,62 @@ def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFram
     return both.select("a", "b", "left", "right").mapInArrow(_verify(threshold), "a long, b long, similarity double")
 
 
+def cell_links(node: np.ndarray, comp: np.ndarray, block: np.ndarray, texts: list[bytes],
+               threshold: float) -> list[tuple[int, int]]:
+    """Links that join the components of a cell's members, each member compared with all it must be.
+
+    Members of one component need no link; in a cell of two blocks only pairs across them count. A member's
+    multiset is laid out over the cell's shingles, and all partners are summed up against it at once.
+    """
+    owner, shingle, count = bags(texts)
+    code = np.unique(shingle, return_inverse=True)[1]
+    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    size = np.bincount(owner, count, minlength=len(texts))
+    label, cross, out = comp.copy(), len(np.unique(block)) > 1, []
+    mine = np.zeros(len(shingle) + 1, dtype=np.int64)
+    for i in range(len(texts) - 1):
+        j = np.arange(i + 1, len(texts))
+        j = j[(label[j] != label[i]) & (np.minimum(size[j], size[i]) >= threshold * np.maximum(size[j], size[i]))]
+        if cross:
+            j = j[block[j] != block[i]]
+        if not len(j):
+            continue
+        own = slice(first[i], first[i + 1])
+        mine[code[own]] = count[own]
+        length = first[j + 1] - first[j]
+        at = np.repeat(first[j] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        common = np.bincount(np.repeat(np.arange(len(j)), length), np.minimum(mine[code[at]], count[at]), minlength=len(j))
+        mine[code[own]] = 0
+        for k in j[common >= threshold * (size[j] + size[i] - common)]:
+            if label[k] != label[i]:
+                out.append((int(node[i]), int(node[k])))
+                label[label == label[k]] = label[i]
+    return out
+
+
 def _compare(threshold: float):
-    """Rows come sorted by cell: compare the members of each cell whose components differ, by registers."""
+    """Rows come sorted by cell."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        node, comp, size = (np.array([r[i] for r in rows], dtype=np.int64) for i in (0, 1, 2))
-        block = np.array([r[3] for r in rows])
-        sketch = np.stack([np.frombuffer(r[4], np.uint8) for r in rows])
-        cross, out = len(set(block.tolist())) > 1, []
-        for i in range(len(rows)):
-            j = np.arange(i + 1, len(rows))
-            j = j[(comp[j] != comp[i]) & (np.minimum(size[j], size[i]) >= threshold * np.maximum(size[j], size[i]))]
-            if cross:
-                j = j[block[j] != block[i]]
-            if len(j):
-                j = j[(sketch[j] == sketch[i]).mean(axis=1) >= SKETCH]
-                out += [(min(x, y), max(x, y)) for x, y in zip(node[j].tolist(), [int(node[i])] * len(j), strict=True)]
-        return tokens.batch(schema, out)
+    def links(held: list[tuple]) -> pa.RecordBatch:
+        node, comp, block, body = zip(*held, strict=True)
+        return tokens.batch(schema, cell_links(np.array(node), np.array(comp), np.array(block),
+                                               [zstandard.ZstdDecompressor().decompress(x) for x in body], threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            for bucket, low, high, *row in zip(*(batch[c].to_pylist() for c in (
-                    "bucket", "low", "high", "node", "comp", "size", "block", "sketch")), strict=True):
-                if (bucket, low, high) != current:
-                    if len(held) > 1:
-                        yield pairs(held)
-                    current, held = (bucket, low, high), []
-                held.append(row)
+            for start in range(0, len(batch), 500):
+                part = batch.slice(start, 500)
+                for bucket, low, high, *row in zip(*(part[c].to_pylist() for c in (
+                        "bucket", "low", "high", "node", "comp", "block", "body")), strict=True):
+                    if (bucket, low, high) != current:
+                        if len(held) > 1:
+                            yield links(held)
+                        current, held = (bucket, low, high), []
+                    held.append(row)
         if len(held) > 1:
-            yield pairs(held)
+            yield links(held)
 
     return run
 
@@ -206,18 +227,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Class of every row of ``docs``: connected components of pairs with similarity ``threshold`` or more.
 
     Similarity is the weighted Jaccard of the multisets of five-word shingles (words ``[^\\x20\\x09-\\x0D]+``, A-Z
-    folded; a shorter text is one shingle). Returns ``doc_id``, ``class_id`` (the smallest ``doc_id`` of the class),
-    ``class_rows`` and ``n_links`` (verified links of the row's text to other texts that were compared; equal texts
-    are not links). Texts without a word, null included, are alone: their class is their own ``doc_id``. Equal texts
+    folded; a shorter text is one shingle). Returns ``doc_id``, ``class_id`` (the smallest ``doc_id`` of the class)
+    and ``class_rows``. Texts without a word, null included, are alone: their class is their own ``doc_id``. Equal texts
     share a class; a null ``doc_id`` sorts first. An empty table gives an empty result; other columns are ignored.
     """
     given = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
     named = given.withColumn("node", F.xxhash64("text"))
     signed = materialize(named.mapInArrow(
-        _sign(bands, rows), "key long, node long, size long, bands array<long>, sketch binary"), "signed")
+        _sign(bands, rows), "key long, node long, size long, bands array<long>"), "signed")
     nodes = materialize(signed.where("size > 0").groupBy("node").agg(
-        F.min("key").alias("key"), F.first("size").alias("size"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "nodes")
+        F.min("key").alias("key"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = materialize(spread.join(shared, "bucket"), "members")
@@ -244,22 +263,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("bucket", "node", "comp", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high"))
-             .join(nodes.select("node", "size", "sketch"), "node"))
-    open_pairs = (cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-                  .mapInArrow(_compare(threshold), "a long, b long").distinct()
-                  .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = materialize(_verified(open_pairs, bodies, threshold), "links")
-    all_links = links.unionByName(more)
+             .join(bodies, "node"))
+    more = materialize(cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+                       .mapInArrow(_compare(threshold), "a long, b long").distinct(), "links")
     if not more.isEmpty():
-        comps = components(all_links)
-    degree = all_links.select(F.col("a").alias("node")).unionByName(all_links.select(F.col("b").alias("node"))).groupBy(
-        "node").agg(F.count(F.lit(1)).alias("n_links"))
+        comps = components(links.select("a", "b").unionByName(more))
 
-    placed = (signed.where("size > 0").select("key", "node").join(comps, "node", "left").join(degree, "node", "left")
-              .select("key", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    placed = (signed.where("size > 0").select("key", "node").join(comps, "node", "left")
+              .select("key", F.coalesce("comp", "node").alias("comp")))
     classes = placed.groupBy("comp").agg(F.min("key").alias("class_key"), F.count(F.lit(1)).alias("class_rows"))
-    full = placed.join(classes, "comp").select("key", "class_key", "class_rows", "n_links")
-    alone = signed.where("size = 0").select("key", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_rows"),
-                                            F.lit(0).cast("long").alias("n_links"))
+    full = placed.join(classes, "comp").select("key", "class_key", "class_rows")
+    alone = signed.where("size = 0").select("key", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_rows"))
     return full.unionByName(alone).select(tables.id_of(F.col("key")).alias("doc_id"),
-                                          tables.id_of(F.col("class_key")).alias("class_id"), "class_rows", "n_links")
+                                          tables.id_of(F.col("class_key")).alias("class_id"), "class_rows")
