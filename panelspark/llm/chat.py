@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm import tables, tokens
+from panelspark.llm import ranges, tables, tokens
 
 BLOCK_BYTES = 1 << 20
 OPEN, SHUT, END = b"<s>[", b"]\n", b"</s>\n"
@@ -93,7 +93,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, texts in _blocks(batch):
             role = [roles[i] for i in range(a, b)]
             out, ends, body, stop = assemble(role, texts)
-            cut = np.flatnonzero(np.diff(keys[a:b], prepend=keys[a] - 1))
+            cut = np.flatnonzero(ranges.heads(keys[a:b]))
             last = np.append(cut[1:], b - a)
             offsets = np.concatenate([[0], ends[last - 1]]).astype(np.int32)
             loss = np.array([r == b"assistant" for r in role])
