@@ -9,28 +9,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+_MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, odd double"
 
 
 def _partial_moments(k: int):
     """Per task: counts, sums and cross-products of every column pair, rows with a null skipped
-    pair by pair. Leaves k(k+1)/2 rows per task."""
+    pair by pair, and how many of a pair's rows hold an infinity. Leaves k(k+1)/2 rows per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, ss, p = (np.zeros((k, k)) for _ in range(4))
+        n, s, ss, p, odd = (np.zeros((k, k)) for _ in range(5))
         for b in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
             ok = ~np.isnan(x)
             m = ok.astype(float)
-            x = np.where(ok, x, 0.0)
+            wild = np.isinf(x)
+            x = np.where(ok & ~wild, x, 0.0)
             n += m.T @ m
             s += x.T @ m          # s[i, j]: sum of column i over rows where j is present
             ss += (x * x).T @ m
             p += x.T @ x
+            odd += wild.astype(float).T @ m + m.T @ wild
         i, j = np.tril_indices(k)
-        cols = [i.astype("int32"), j.astype("int32"), n[i, j], s[i, j], s[j, i], ss[i, j], ss[j, i], p[i, j]]
+        cols = [i.astype("int32"), j.astype("int32"), n[i, j], s[i, j], s[j, i], ss[i, j], ss[j, i], p[i, j], odd[i, j]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
-                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy", "odd"])
 
     return run
 
@@ -44,18 +46,19 @@ def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     cols = [F.col(c).cast("double").alias(c) for c in columns]
     data = df.select(*cols)
-    means = data.agg(F.struct(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in columns])).scalar()
+    means = data.agg(F.struct(*[F.avg(F.when(F.abs(c) < float("inf"), F.col(c))).alias(c) for c in columns])).scalar()
     shifted = (data.withColumn("_m", means)
                .select(*[(F.col(c) - F.coalesce(F.col(f"_m.{c}"), F.lit(0.0))).alias(c) for c in columns]))
     parts = shifted.mapInArrow(_partial_moments(len(columns)), _MOMENTS)
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy", "odd")])
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], triangle: bool = False,
                        undefined: float | None = None) -> DataFrame:
     """Pearson r of all column pairs, long form (x, y, r), pairwise complete rows.
 
-    triangle: only pairs below the diagonal. ``undefined`` replaces r of constant columns.
+    triangle: only pairs below the diagonal. ``undefined`` replaces r where it is not defined: for
+    constant columns, pairs with an infinity in their common rows, and squares beyond a double.
     """
     names = F.array(*[F.lit(c) for c in columns])
     n = F.col("n")
@@ -64,10 +67,12 @@ def correlation_matrix(df: DataFrame, columns: list[str], triangle: bool = False
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     # a column that is constant up to rounding has no correlation
     floor = F.lit(1e-24)
-    flat = (n < 2) | (vx <= floor * F.col("sxx")) | (vy <= floor * F.col("syy"))
+    flat = (F.col("odd") > 0) | (n < 2) | (vx <= floor * F.col("sxx")) | (vy <= floor * F.col("syy"))
     r = F.when(~flat, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
+    # least(1, NaN) is 1 in Spark, so NaN has to go first
+    r = F.nanvl(r, F.lit(None).cast("double"))
     r = F.greatest(F.lit(-1.0), F.when(r.isNotNull(), F.least(F.lit(1.0), r)))
-    r = F.when(~flat, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(r))
+    r = F.when(~flat, F.when((F.col("i") == F.col("j")) & r.isNotNull(), F.lit(1.0)).otherwise(r))
     if undefined is not None:
         r = F.coalesce(r, F.lit(undefined))
     half = pair_moments(df, columns).select(

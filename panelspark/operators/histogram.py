@@ -21,7 +21,7 @@ def histogram(df: DataFrame, values: list[str], bins: int | None = 50,
 
     Bins are closed on the left, the last one on both sides. ``bins=None`` picks the count
     from the number of values. A column with one distinct value is widened by half a unit on
-    both sides, as plotting libraries do. Returns by..., variable, bin (from 1), bin_low,
+    both sides, as plotting libraries do. An infinity is an error. Returns by..., variable, bin (from 1), bin_low,
     bin_high, count.
     """
     by = list(by or [])
@@ -30,6 +30,8 @@ def histogram(df: DataFrame, values: list[str], bins: int | None = 50,
             .unpivot(by, values, "variable", "_v").where(F.col("_v").isNotNull() & ~F.isnan("_v")))
     if by:
         long = long.dropna(subset=by)
+    long = long.withColumn("_v", F.when(F.abs("_v") == float("inf"), F.raise_error(
+        F.lit("no equal-width bins hold an infinity"))).otherwise(F.col("_v")))
     edges = long.groupBy(keys).agg(
         F.min("_v").alias("_a"), F.max("_v").alias("_b"),
         (F.lit(bins) if bins else adaptive_bins(F.count(F.lit(1)))).alias("_n"))
@@ -38,8 +40,7 @@ def histogram(df: DataFrame, values: list[str], bins: int | None = 50,
                          F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("lo"),
                          F.when(flat, F.col("_b") + 0.5).otherwise(F.col("_b")).alias("hi"))
     n = F.col("_n")
-    # without groups there is one row of edges per column
-    data = attach(long, edges, keys, "inner", rows=None if by else len(values))
+    data = attach(long, edges, keys, "inner")
     # the bucket of hi itself is n + 1
     slot = F.least(F.width_bucket("_v", F.col("lo"), F.col("hi"), n.cast("bigint")), n.cast("bigint"))
     counts = (data.groupBy(*keys, "lo", "hi", "_n", slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_c"))

@@ -5,44 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.runtime import salted_join, within_rows
+from panelspark.runtime import materialize
 
-# Dimensions up to this size travel inside the plan as one array literal.
-EXPAND_ROW_LIMIT = 10_000
 
-
-def cross_expand(df: DataFrame, *dims: dict[str, list] | DataFrame,
-                 limit: int = EXPAND_ROW_LIMIT) -> DataFrame:
+def cross_expand(df: DataFrame, *dims: dict[str, list] | DataFrame) -> DataFrame:
     """Every row of ``df`` with every row of each dimension.
 
-    A dimension is a ``{column: values}`` mapping or a DataFrame. Small ones (counted) are
-    exploded in place, so the fact table is neither shuffled nor joined. A larger DataFrame
-    is cut in pieces of ``limit`` rows that meet the fact table in a salted shuffle join.
+    A ``{column: values}`` mapping is exploded in place, so the fact table is neither shuffled nor
+    joined. A DataFrame is materialised first: the planner knows its bytes and broadcasts it if it may.
     """
     for dim in dims:
         if isinstance(dim, dict):
             for name, values in dim.items():
                 df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-        elif within_rows(dim, limit):
-            df = _explode_dimension(df, dim)
         else:
-            df = _piecewise(df, dim, limit)
+            df = df.crossJoin(materialize(dim))
     return df
 
 
-def _explode_dimension(df: DataFrame, dim: DataFrame) -> DataFrame:
-    rows = dim.agg(F.collect_list(F.struct(*dim.columns)).alias("rows")).scalar()
-    return df.withColumn("_dim", F.explode(rows)).select(*df.columns, "_dim.*")
-
-
-def _piecewise(df: DataFrame, dim: DataFrame, limit: int) -> DataFrame:
-    pieces = -(-dim.count() // limit)
-    left = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.lit(pieces - 1).cast("bigint"))))
-    right = dim.withColumn("_piece", F.pmod(F.xxhash64(*dim.columns), F.lit(pieces)))
-    return salted_join(left, right, ["_piece"], "inner").drop("_piece")
-
-
 def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, defaults: dict | None = None) -> DataFrame:
     """Left equi-join to a dimension keyed by ``on``; missing keys give null or the defaults.
 
@@ -56,8 +36,14 @@ def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, defaults: dict |
 
 
 def side_by_side(df: DataFrame, key: str, series: str, value: str, names: list[str]) -> DataFrame:
-    """One row per key and one column per named series (e.g. two forecasts per date)."""
-    return df.where(F.col(series).isin(names)).groupBy(key).pivot(series, names).agg(F.max(value))
+    """One row per key and one column per named series (e.g. two forecasts per date).
+
+    A key with several rows in one series is an error, as only one of them could be shown.
+    """
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"several rows for one {key} and {series}"))).otherwise(
+        F.max(value))
+    single = df.where(F.col(series).isin(names)).groupBy(key, series).agg(one.alias("_one"))
+    return single.groupBy(key).pivot(series, names).agg(F.max("_one"))
 
 
 def stack_tables(tables: list[DataFrame]) -> DataFrame:

@@ -49,12 +49,12 @@ def _held(ranks: str, before, upto):
     return F.filter(ranks, lambda r: (r >= before) & (r < upto))
 
 
-def _narrow(long: DataFrame, spans: DataFrame, keys: list[str], n_spans: int) -> DataFrame:
+def _narrow(long: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
     """Cut each span in equal cells and keep the cells that hold wanted ranks.
 
     A span is (keys, lo, hi, before, ranks): values in [lo, hi], rows below lo, wanted ranks.
     """
-    inside = (attach(long, spans, keys, "inner", rows=n_spans)
+    inside = (attach(long, spans, keys, "inner", stored=True)
               .where(F.col("_v").between(F.col("lo"), F.col("hi"))))
     part = F.try_divide(F.col("_v") - F.col("lo"), F.col("hi") - F.col("lo")) * CELLS
     cell = F.when(F.col("hi") - F.col("lo") < float("inf"), F.floor(part)).otherwise(
@@ -97,10 +97,10 @@ def exact_quantiles(df: DataFrame, values: list[str], probs: list[float],
     sizes = materialize(long.groupBy(keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")), "sizes")
     spans = sizes.select(*keys, "lo", "hi", F.lit(0).cast("bigint").alias("before"), ranks.alias("ranks"))
-    n_spans, done = sizes.count(), None
+    done = None
 
     while True:
-        spans = materialize(_narrow(long, spans, keys, n_spans), "spans")
+        spans = materialize(_narrow(long, spans, keys), "spans")
         n_spans, largest = spans.where("lo < hi").agg(F.count(F.lit(1)), F.max("rows")).first()
         if largest is None or largest <= SORT_ROW_LIMIT:
             break
@@ -113,7 +113,7 @@ def exact_quantiles(df: DataFrame, values: list[str], probs: list[float],
     found = closed.select(*keys, F.explode("ranks").alias("_r"), F.col("lo").alias("_v"))
     if n_spans:
         open_spans = spans.where("lo < hi").select(*keys, "lo", "hi", "before", "ranks")
-        rows = (attach(long, open_spans, keys, "inner", rows=n_spans)
+        rows = (attach(long, open_spans, keys, "inner", stored=True)
                 .where(F.col("_v").between(F.col("lo"), F.col("hi")))
                 .groupBy(*keys, "lo", "before", "ranks", "_v").agg(F.count(F.lit(1)).alias("_c")))
         run = Window.partitionBy(*keys, "lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
@@ -125,7 +125,9 @@ def exact_quantiles(df: DataFrame, values: list[str], probs: list[float],
 
     def interpolate(p):
         lo, hi = F.element_at("_at", rank(p, False)), F.element_at("_at", rank(p, True))
-        return F.when(hi == lo, lo).otherwise(lo + (hi - lo) * (position(p) - F.floor(position(p))))
+        # the operations of ``percentile`` in their order, so that both paths give the same bits
+        return F.when(hi == lo, lo).otherwise((F.ceil(position(p)) - position(p)) * lo
+                                              + (position(p) - F.floor(position(p))) * hi)
 
     return (sizes.select(*keys, "n").join(at, keys)
             .select(*keys, "n", F.array(*[interpolate(p) for p in probs]).alias("q")))

@@ -29,6 +29,9 @@ def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFra
 def label_mappings(df: DataFrame, columns: list[str]) -> DataFrame:
     """(name, value, code) for all columns from one pass: distinct non-null values of each column
     in binary order, numbered from 0."""
+    types = dict(df.dtypes)
+    if other := [c for c in columns if types[c] != "string"]:
+        raise ValueError(f"codes follow the order of texts, these columns are not texts: {other}")
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
     values = df.select(F.inline(pairs)).where("value is not null").distinct()
     ranked = rank_rows(values, [F.col("name"), F.col("value")], "_rank")
@@ -51,12 +54,11 @@ def label_encode(df: DataFrame, columns: list[str], suffix: str = "_enc",
     duplicates were removed.
     """
     all_maps = materialize(label_mappings(df if source is None else source, columns), "labels")
-    sizes = {r["name"]: r["count"] for r in all_maps.groupBy("name").count().collect()}
     mappings = {}
     for c in columns:
         mappings[c] = all_maps.where(F.col("name") == c).drop("name")
         side = mappings[c].withColumnsRenamed({"value": c, "code": f"{c}{suffix}"})
-        df = attach(df, side, [c], "left", rows=sizes.get(c, 0))
+        df = attach(df, side, [c], "left", stored=True)
         df = df.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)))
     return df, mappings
 

@@ -1,6 +1,6 @@
 """Reproducible samples, splits and shuffles driven by a hash of the row key.
 
-``key`` must identify a row. Order by hash is a fixed random order of the rows, whatever the
+``key`` must identify a row; one that repeats at the cut is an error. Order by hash is a fixed random order of the rows, whatever the
 partitioning; a sample is its head, a split cuts it. Only the hash threshold is searched for,
 so no operator here sorts or moves the table (except :func:`shuffle_rows`, which is a sort).
 """
@@ -34,9 +34,12 @@ def _threshold(df: DataFrame, key: list[str], seed, k: Column):
     if edge is None:
         return None
     place = Window.partitionBy("bucket").orderBy("h", *key)
-    return (hashed.withColumn("bucket", bucket).where(F.col("bucket") == edge["bucket"])
-            .withColumn("rank", F.row_number().over(place))
-            .where(F.col("rank") == edge["rank"]).select("h", *key).first())
+    last = (hashed.withColumn("bucket", bucket).where(F.col("bucket") == edge["bucket"])
+            .withColumn("rank", F.row_number().over(place)).withColumn("upto", F.count(F.lit(1)).over(place))
+            .where(F.col("rank") == edge["rank"]).select("h", *key, "upto").first())
+    if last["upto"] > edge["rank"]:
+        raise ValueError(f"{key} does not identify a row: {last['upto'] - edge['rank']} more rows share the key at the cut")
+    return last
 
 
 def _before(df: DataFrame, key: list[str], seed, k: Column) -> Column:

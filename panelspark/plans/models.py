@@ -61,25 +61,24 @@ def linear(features: list[str] = fv.FEATURES, label: str = fv.TARGET, fit_interc
                          fitIntercept=fit_intercept, standardization=False)])
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training rows cached, as every stage passes over them again.
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int = 16) -> PipelineModel:
+    """Fit on one cached copy of the training rows, as every stage passes over them again.
 
-    Few input partitions (a small or badly split source) are first spread over all cores; a
-    large source keeps its partitions. Boosting cuts its lineage in the shared folder.
+    Tree models draw their samples per partition, in row order. So rows are dealt to ``partitions`` by the
+    values of their plain columns and sorted within: the model then depends on the rows, the seed and that
+    number, not on cores or files. The caller's own cache stays as it is. Boosting cuts its lineage in the
+    shared folder.
     """
     spark = train.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
-    kept = [train.persist(StorageLevel.MEMORY_AND_DISK)]
-    # asked of the cached rows, so that the joins behind them run once
-    if kept[0].rdd.getNumPartitions() < sc.defaultParallelism:
-        kept.append(kept[0].repartition(sc.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK))
+    plain = [c for c, t in train.dtypes if not t.startswith(("map", "array", "struct", "vector", "binary", "variant"))]
+    dealt = train.repartition(partitions, *plain).sortWithinPartitions(*plain).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline.fit(kept[-1])
+        return pipeline.fit(dealt)
     finally:
-        for df in kept:
-            df.unpersist()
+        dealt.unpersist()
 
 
 def split(df: DataFrame, key: list[str], test_size: float = 0.2, seed: int = fv.SEED,

@@ -1,4 +1,4 @@
-"""Session-level helpers: shared folders, materialised side tables, size-checked joins."""
+"""Session-level helpers: shared folders, materialised side tables and joins to them."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side table is broadcast only after its rows were counted against this bound.
-BROADCAST_ROW_LIMIT = 200_000
-# Copies of each side row in the shuffle join used beyond the bound.
-SALTS = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,33 +40,10 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def within_rows(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads no more than limit + 1."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left",
-           rows: int | None = None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left", stored: bool = False) -> DataFrame:
     """Join a fact table to a derived side table with few rows per key.
 
-    ``side`` is materialised and counted, unless its row count is given. Up to ``limit`` rows
-    it is broadcast, so the fact side does not move. Beyond that both sides shuffle on key and
-    salt, which spreads a hot key of the fact side over ``SALTS`` tasks.
+    ``side`` is materialised, unless it is ``stored`` already, so that the planner knows its bytes and
+    broadcasts it or not; where both sides shuffle, adaptive execution splits hot keys.
     """
-    if rows is None:
-        side = materialize(side)
-        rows = side.count()
-    if rows <= limit:
-        return df.join(F.broadcast(side), on, how)
-    return salted_join(df, side, on, how)
-
-
-def salted_join(df: DataFrame, side: DataFrame, on: list[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Equi-join whose left side may have hot keys; ``how`` is inner or left."""
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.lit(salts - 1).cast("bigint"))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return df.join(side if stored else materialize(side), on, how)

@@ -184,19 +184,69 @@ def test_label_encode_binary_order(spark):
     assert rows(maps["c"]) == [("A", 0), ("B", 1), ("a", 2), ("b", 3)]
 
 
-def test_cross_expand_large_dimension(spark):
-    df, dim = spark.range(30), spark.range(100, 125).withColumnRenamed("id", "d")
-    small = rows(joins.cross_expand(df, dim))
-    big = rows(joins.cross_expand(df, dim, limit=4).select("id", "d"))
-    assert small == big and len(small) == 750
-
-
-def test_attach_beyond_the_broadcast_bound(spark):
-    df = spark.createDataFrame([("hot", i) for i in range(300)] + [("x", 1), ("lost", 2)], "k string, v int")
+def with_broadcast(spark, limit, run):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        return run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_joins_agree_with_and_without_broadcast(spark, limit):
+    df = spark.createDataFrame([("hot", i, {"a": i}) for i in range(300)] + [("x", 1, {}), ("lost", 2, None)],
+                               "k string, v int, m map<string,int>")
     side = spark.createDataFrame([("hot", 10), ("x", 20)], "k string, w int")
-    assert rows(runtime.attach(df, side, ["k"], "inner")) == rows(runtime.attach(df, side, ["k"], "inner", limit=1))
-    left = runtime.attach(df, side, ["k"], "left", limit=0)
-    assert left.count() == 302 and left.where("w is null").count() == 1
+    dim = spark.range(100, 125).withColumnRenamed("id", "d")
+
+    def run():
+        left = runtime.attach(df, side, ["k"], "left")
+        return left.count(), left.where("w is null").count(), joins.cross_expand(df, dim).count()
+    assert with_broadcast(spark, limit, run) == (302, 1, 302 * 25)
+
+
+def test_side_by_side_refuses_two_rows_for_one_cell(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 9.0), (1, "b", 2.0)], "k int, s string, v double")
+    with pytest.raises(Exception, match="several rows"):
+        joins.side_by_side(df, "k", "s", "v", ["a", "b"]).collect()
+
+
+def test_undefined_correlations_are_null(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 3.5), (3.0, 4.0), (inf, None)], "a double, b double")
+    r = {(x.x, x.y): x.r for x in correlation.correlation_matrix(df, ["a", "b"]).collect()}
+    expected = correlation.pearson(df, "a", "b").first().r
+    assert r["a", "b"] == pytest.approx(expected) and r["a", "a"] is None and r["b", "b"] == 1.0
+    wild = spark.createDataFrame([(1.0, inf), (2.0, 3.5), (3.0, 4.0)], "a double, b double")
+    assert {x.r for x in correlation.correlation_matrix(wild, ["a", "b"], triangle=True).collect()} == {None}
+    huge = spark.createDataFrame([(1e200, 1e200), (-1e200, 3.0), (3.0, 4.0)], "a double, b double")
+    assert {x.r for x in correlation.correlation_matrix(huge, ["a", "b"], triangle=True).collect()} == {None}
+
+
+def test_both_quantile_paths_give_the_same_bits(spark):
+    inf, r = float("inf"), random.Random(4)
+    groups = {"plain": [r.uniform(-5, 5) for _ in range(101)], "low": [-inf, 5.0], "wide": [-1.7e308, 1.7e308], "one": [3.0],
+              "ties": [1.0, 1.0, 2.0, 2.0], "ends": [-inf, inf, 0.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    probs = [i / 37 for i in range(38)] + [0.25, 0.5, 0.75]
+    small = {x.g: x.q for x in quantiles.exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    counted = {x.g: x.q for x in quantiles.exact_quantiles(df.repartition(7), ["v"], probs, ["g"], small_group=0).collect()}
+    assert {g: list(map(repr, q)) for g, q in small.items()} == {g: list(map(repr, q)) for g, q in counted.items()}
+
+
+def test_repeated_keys_at_the_cut_are_an_error(spark):
+    df = spark.range(100).selectExpr("id div 50 k")
+    with pytest.raises(ValueError, match="does not identify"):
+        sampling.sample_rows(df, 10, ["k"])
+
+
+def test_infinities_have_no_bins_and_numbers_no_labels(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
+    with pytest.raises(Exception, match="infinity"):
+        histogram.histogram(df, ["v"], 4).collect()
+    with pytest.raises(ValueError, match="not texts"):
+        ranking.label_encode(df, ["v"])
 
 
 def test_lookup_defaults(spark):

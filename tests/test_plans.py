@@ -272,3 +272,16 @@ def test_report_round_trip(spark):
     r = writers.read_report(spark, path).first()
     assert (r.model, r.total_rows, r.metrics.rmse, r.hyperparameters) == ("m", 10, 1.2346, {"depth": "3"})
     assert tuple(readers.read_metrics(spark, path).first())[:2] == ("m", 1.2346)
+
+
+def test_fit_keeps_the_callers_cache_and_ignores_the_layout(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    df = spark.range(400).selectExpr("*", *[f"cast(pmod(hash(id, {i}), 97) as double) {c}" for i, c in enumerate(fv.FEATURES)],
+                                     f"cast(id % 13 as double) {fv.TARGET}").cache()
+    df.count()
+    out = []
+    for layout in (df, df.repartition(7)):
+        model = models.fit(models.random_forest(num_trees=4, max_depth=4), layout)
+        out.append(RegressionEvaluator(labelCol=fv.TARGET).evaluate(model.transform(df)))
+    assert df.storageLevel.useMemory and out[0] == pytest.approx(out[1], abs=1e-12)
+    df.unpersist()
