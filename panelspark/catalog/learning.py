@@ -235,11 +235,37 @@ def ml13(spark, sf):
     return out.select("metric", *[F.round(c, 4).alias(c) for c in ("mean", "group", "line")], "best")
 
 
-@query("ml14_residual_sample", f"""WITH {ML_SPLIT_SQL}, {LINE_FIT_SQL}
+def residual_sql(n: int) -> str:
+    return f"""WITH {ML_SPLIT_SQL}, {LINE_FIT_SQL}
 SELECT o_orderkey, round(actual, 5) AS actual, round(predicted, 5) AS predicted, round(actual - predicted, 5) AS residual,
   round(abs(actual - predicted), 5) AS abs_residual, abs(actual - predicted) <= (SELECT rmse FROM line_metrics) AS in_band
-FROM line_scored ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 8000""")
-def ml14(spark, sf):
+FROM line_scored ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT {n}"""
+
+
+def residuals(spark, sf, n):
     _, scored = fitted_line_rows(spark, sf)
-    out = evaluation.residual_sample(scored, ["o_orderkey"], 8000)
+    out = evaluation.residual_sample(scored, ["o_orderkey"], n)
     return out.withColumns({c: F.round(c, 5) for c in ("actual", "predicted", "residual", "abs_residual")})
+
+
+@query("ml14_residual_sample", residual_sql(8000))
+def ml14(spark, sf):
+    return residuals(spark, sf, 8000)
+
+
+@query("ml14_residual_sample_below_size", residual_sql(100))
+def ml14_below(spark, sf):
+    """A sample smaller than the test part at every size of the tables."""
+    return residuals(spark, sf, 100)
+
+
+@query("ml5_forest_of_group_means", f"""WITH {ML_SPLIT_SQL},
+g AS (SELECT priority_enc, avg(target) AS p FROM marked WHERE NOT is_test GROUP BY 1)
+SELECT o_orderkey, round(target, 5) AS actual, round(p, 5) AS predicted, round(abs(target - p), 5) AS abs_error
+FROM marked JOIN g USING (priority_enc) WHERE is_test""")
+def ml5_group_means(spark, sf):
+    """Default size (100 trees, depth 10) without sampling: on one feature of few values a tree gives group means."""
+    train, test = halves(spark, sf)
+    forest = models.random_forest(["priority_enc"], "target", subsample=1.0, bootstrap=False)
+    out = models.score(models.fit(forest, train), test, "target", ["o_orderkey"])
+    return out.withColumns({c: F.round(c, 5) for c in ("actual", "predicted", "abs_error")})

@@ -154,7 +154,8 @@ def fill_group_median(df: DataFrame, by: list[str], values: list[str],
                       accuracy: int | None = None) -> DataFrame:
     """Replace nulls (and NaN) by the median of the row's group.
 
-    Groups without any value, and rows without a group key, stay null.
+    Groups without any value, and rows without a group key, stay null. Filled columns become
+    double, as the median of whole numbers need not be whole.
     """
     med = quantiles(df, values, [0.5], by, accuracy)
     wide = (med.groupBy(by).pivot("variable", values).agg(F.max(F.element_at("q", 1)))

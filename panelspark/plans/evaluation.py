@@ -33,16 +33,16 @@ def compare_models(table: DataFrame, models: list[str]) -> DataFrame:
     """metric x model with the best model per metric.
 
     ``table`` has one row per model: model and the four metrics. On a tie the model that
-    comes first in ``models`` wins.
+    comes first in ``models`` wins. The table is read once.
     """
     order = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
     long = (table.select("model", order.alias("ord"), *METRICS)
             .unpivot(["model", "ord"], METRICS, "metric", "value"))
     signed = F.when(F.col("metric").isin(*HIGHER_IS_BETTER), -F.col("value")).otherwise(F.col("value"))
-    best = (long.where("value is not null").groupBy("metric")
-            .agg(F.min_by("model", F.struct(signed.alias("v"), "ord")).alias("best")))
-    wide = long.groupBy("metric").pivot("model", models).agg(F.max("value"))
-    return wide.join(best, "metric", "left")
+    place = F.when(F.col("value").isNotNull(), F.struct(signed.alias("v"), "ord"))
+    return long.groupBy("metric").agg(
+        *[F.max(F.when(F.col("model") == m, F.col("value"))).alias(m) for m in models],
+        F.min_by("model", place).alias("best"))
 
 
 def residual_sample(scored: DataFrame, key: list[str], n: int = 8_000, seed: int = 42) -> DataFrame:

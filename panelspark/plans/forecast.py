@@ -46,13 +46,14 @@ def city_metadata(entities: DataFrame, metadata: DataFrame | None = None) -> Dat
 
 
 def future_features(entities: DataFrame, days: int = 7, start: dt.date | None = None,
-                    on_unknown: str = "error", metadata: DataFrame | None = None) -> DataFrame:
+                    on_unknown: str = "error", metadata: DataFrame | None = None,
+                    environment: dict[str, float] | None = None) -> DataFrame:
     """Model input for (location, sector, zone) entities: the 14 features plus date and keys."""
     e = city_metadata(entities, metadata).withColumns({
         "location_enc": S.encode("location", dimensions.city_names(), on_unknown),
         "sector_enc": S.encode("sector", dimensions.sector_names(), on_unknown),
         "zone_enc": S.encode("zone", dimensions.zone_names(), on_unknown)})
-    return scaffold(e, days, start)
+    return scaffold(e, days, start, environment)
 
 
 def finish(scored: DataFrame, prediction: Column | str, keep: list[str], bounds=fv.FORECAST_BOUNDS,
@@ -63,9 +64,13 @@ def finish(scored: DataFrame, prediction: Column | str, keep: list[str], bounds=
 
 
 def predict_future(entities: DataFrame, model: PipelineModel, days: int = 7, start: dt.date | None = None,
-                   on_unknown: str = "error") -> DataFrame:
-    """Forecast every entity for ``days`` days (reference horizon: 1 to 14) in one batch."""
-    features = future_features(entities, days, start, on_unknown)
+                   on_unknown: str = "error", metadata: DataFrame | None = None,
+                   environment: dict[str, float] | None = None) -> DataFrame:
+    """Forecast every entity for ``days`` days (published horizon: 1 to 14) in one batch.
+
+    ``metadata`` and ``environment`` replace the built-in places and constant weather.
+    """
+    features = future_features(entities, days, start, on_unknown, metadata, environment)
     return finish(model.transform(features), "prediction", ["location", "sector", "zone"])
 
 

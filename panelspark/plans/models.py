@@ -36,10 +36,12 @@ def standardise(df: DataFrame, columns: list[str], train: Column | None = None,
 
 
 def random_forest(features: list[str] = fv.FEATURES, label: str = fv.TARGET, num_trees: int = 100,
-                  max_depth: int = 10, subsample: float = 0.8, seed: int = fv.SEED) -> Pipeline:
+                  max_depth: int = 10, subsample: float = 0.8, seed: int = fv.SEED,
+                  bootstrap: bool = True) -> Pipeline:
+    """Forest; with ``bootstrap`` off and ``subsample`` 1.0 every tree sees all rows once."""
     return Pipeline(stages=[assembler(features), RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-        subsamplingRate=subsample, seed=seed)])
+        subsamplingRate=subsample, bootstrap=bootstrap, seed=seed)])
 
 
 def gradient_boosting(features: list[str] = fv.FEATURES, label: str = fv.TARGET, rounds: int = 500,
