@@ -285,3 +285,10 @@ def test_fit_keeps_the_callers_cache_and_ignores_the_layout(spark):
         out.append(RegressionEvaluator(labelCol=fv.TARGET).evaluate(model.transform(df)))
     assert df.storageLevel.useMemory and out[0] == pytest.approx(out[1], abs=1e-12)
     df.unpersist()
+
+
+def test_future_features_take_environment_and_places(spark):
+    entities = spark.createDataFrame([("Nowhere", "Residential", "North")], "location string, sector string, zone string")
+    places = spark.createDataFrame([("Nowhere", 1000, 10)], "location string, population int, area_km2 int")
+    rows = forecast.future_features(entities, 2, dt.date(2024, 1, 1), "zero", places, {"temperature": 10.0}).collect()
+    assert [(r.temperature, r.population_density) for r in rows] == [(10.0, 100.0)] * 2
