@@ -269,9 +269,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not more.isEmpty():
         comps = components(links.select("a", "b").unionByName(more))
 
-    placed = (signed.where("size > 0").select("key", "node").join(comps, "node", "left")
-              .select("key", F.coalesce("comp", "node").alias("comp")))
-    classes = placed.groupBy("comp").agg(F.min("key").alias("class_key"), F.count(F.lit(1)).alias("class_rows"))
+    placed = materialize(signed.where("size > 0").select("key", "node").join(comps, "node", "left")
+                         .select("key", F.coalesce("comp", "node").alias("comp")), "placed")
+    # written, so that the join below is free of the aggregate's partitioning and a hot class can be split
+    classes = materialize(placed.groupBy("comp").agg(F.min("key").alias("class_key"),
+                                                     F.count(F.lit(1)).alias("class_rows")), "classes")
     full = placed.join(classes, "comp").select("key", "class_key", "class_rows")
     alone = signed.where("size = 0").select("key", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_rows"))
     return full.unionByName(alone).select(tables.id_of(F.col("key")).alias("doc_id"),
