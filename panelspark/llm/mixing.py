@@ -122,9 +122,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     found = sized.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
     found = sorted(found, key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
     goal = targets([r["source_size"] for r in found], [weights[i % len(weights)] for i in range(len(found))], most)
-    of_source = docs.sparkSession.createDataFrame(
+    of_source = materialize(docs.sparkSession.createDataFrame(
         [(i, r["source"], r["source_size"], t) for i, (r, t) in enumerate(zip(found, goal, strict=True))],
-        "place int, source string, source_size long, target double")
+        "place int, source string, source_size long, target double"), "sources")
     placed = sized.withColumn("bucket", F.col("hash") % BUCKETS).join(
         of_source.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     cells = placed.groupBy("place", "size", "bucket").agg(F.count(F.lit(1)).alias("n"), F.first("target").alias("target"))
