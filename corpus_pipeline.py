@@ -14,12 +14,6 @@ from panelspark.llm import decontaminate, mixing, near_dedup, pii, tables, weak_
 from panelspark.runtime import materialize
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose ``doc_id`` is not among those of ``dropped``; null is an identifier like any other."""
-    out = dropped.select(tables.key_of("doc_id").alias("dropped_key")).distinct()
-    return docs.join(out, tables.key_of("doc_id") == F.col("dropped_key"), "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it is fitted on this stage's own input."""
     model = weak_labels.fit(docs, tables.table(spark, sf_dir, "labels"))
@@ -27,16 +21,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, the one with the smallest ``doc_id``, and one row of it."""
-    classes = near_dedup.near_duplicates(docs)
-    again = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return _without(docs, again).dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each class, the one with the smallest ``doc_id``; rows that share an identifier are told apart."""
+    return near_dedup.first_of_classes(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    found = decontaminate.contamination(docs, tables.table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    """Rows without a window of a benchmark item, each judged by its own text."""
+    rows = docs.withColumn("row_digest", tables.digest_of(docs))
+    found = decontaminate.judged(rows.select(F.col("row_digest").alias("key"), F.col("text").cast("string").alias("text")),
+                                 tables.table(spark, sf_dir, "benchmark"))
+    out = found.where("contaminated").select(F.col("key").alias("row_digest")).distinct()
+    return rows.join(out, "row_digest", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

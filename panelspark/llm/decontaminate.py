@@ -63,13 +63,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     by its own words. A repeated ``item_id`` counts once, a null one as an empty string. With no
     benchmark window every document is clean. Other columns are ignored.
     """
+    rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
+    per_row = judged(rows, benchmark, item_id, item_text, width, shingle, broadcast_rows)
+    return per_row.select(tables.id_of(F.col("key")).alias("doc_id"), *per_row.columns[1:])
+
+
+def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", width: int = 10,
+           shingle: int = 5, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``contamination`` of rows of ``key`` (of any type, not null) and ``text``; ``key`` takes the place of ``doc_id``."""
     windows = materialize(_windows(benchmark, item_id, item_text, width), "windows")
     sizes = sorted(r[0] for r in windows.select(F.least("len", F.lit(shingle)).alias("k")).distinct().collect())
     folded = windows.select("wid", "len", F.transform("win", F.lower).alias("w"),
                             F.least("len", F.lit(shingle)).alias("k"))
     tokens = [folded.where(F.col("k") == k).select(
         "wid", "len", F.lit(k).alias("k"), F.posexplode(_shingles("w", k)).alias("offset", "h")) for k in sizes]
-    rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
     if tokens:
         of_windows = materialize(reduce(DataFrame.unionByName, tokens), "tokens")
         known = of_windows.select("k", "h").distinct()
@@ -105,7 +112,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         F.coalesce(F.transform("hit", lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"))),
                    F.array().cast("array<struct<start:int,len:int>>")).alias("hits"))
     return per_doc.select(
-        tables.id_of(F.col("key")).alias("doc_id"), "n_words",
+        "key", "n_words",
         F.when(F.col("n_hit") > 0, F.col("n_hit")).otherwise(0).cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),

@@ -231,8 +231,45 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     and ``class_rows``. Texts without a word, null included, are alone: their class is their own ``doc_id``. Equal texts
     share a class; a null ``doc_id`` sorts first. An empty table gives an empty result; other columns are ignored.
     """
+    signed, comps = _compared(_named(docs, doc_id, text), threshold, bands, rows)
+    placed = materialize(signed.where("size > 0").select("key", "node").join(comps, "node", "left")
+                         .select("key", F.coalesce("comp", "node").alias("comp")), "placed")
+    # written, so that the join below is free of the aggregate's partitioning and a hot class can be split
+    classes = materialize(placed.groupBy("comp").agg(F.min("key").alias("class_key"),
+                                                     F.count(F.lit(1)).alias("class_rows")), "classes")
+    full = placed.join(classes, "comp").select("key", "class_key", "class_rows")
+    alone = signed.where("size = 0").select("key", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_rows"))
+    return full.unionByName(alone).select(tables.id_of(F.col("key")).alias("doc_id"),
+                                          tables.id_of(F.col("class_key")).alias("class_id"), "class_rows")
+
+
+def first_of_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8,
+                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row of every class of ``near_duplicates``, with all columns of ``docs``.
+
+    A class belongs to rows, not to identifiers: rows with one ``doc_id`` (null as well) and unlike texts are apart. The
+    row with the smallest ``doc_id`` stays, among those the one with the smallest digest of all its columns, so reruns
+    agree. Rows without a word are alone. Of rows that are equal in all columns one stays.
+    """
+    named = _named(docs, doc_id, text)
+    comps = _compared(named, threshold, bands, rows)[1]
+    keyed = docs.withColumn("row_digest", tables.digest_of(docs))
+    held = keyed.select(tables.key_of(doc_id).alias("key"), "row_digest", F.xxhash64(F.col(text).cast("string")).alias("node"),
+                        F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    placed = held.where("worded").join(comps, "node", "left").select("key", "row_digest", F.coalesce("comp", "node").alias("comp"))
+    first = placed.groupBy("comp").agg(F.min(F.struct("key", "row_digest")).alias("first")).select("first.row_digest")
+    kept = materialize(first.unionByName(held.where("not worded").select("row_digest").distinct()), "kept")
+    # equal rows meet on the map side first, so that many of them do not gather
+    return keyed.dropDuplicates(["row_digest"]).join(kept, "row_digest", "left_semi").select(*docs.columns)
+
+
+def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     given = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
-    named = given.withColumn("node", F.xxhash64("text"))
+    return given.withColumn("node", F.xxhash64("text"))
+
+
+def _compared(named: DataFrame, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their node and its size, and the components of the nodes that have links."""
     signed = materialize(named.mapInArrow(
         _sign(bands, rows), "key long, node long, size long, bands array<long>"), "signed")
     nodes = materialize(signed.where("size > 0").groupBy("node").agg(
@@ -268,13 +305,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        .mapInArrow(_compare(threshold), "a long, b long").distinct(), "links")
     if not more.isEmpty():
         comps = components(links.select("a", "b").unionByName(more))
-
-    placed = materialize(signed.where("size > 0").select("key", "node").join(comps, "node", "left")
-                         .select("key", F.coalesce("comp", "node").alias("comp")), "placed")
-    # written, so that the join below is free of the aggregate's partitioning and a hot class can be split
-    classes = materialize(placed.groupBy("comp").agg(F.min("key").alias("class_key"),
-                                                     F.count(F.lit(1)).alias("class_rows")), "classes")
-    full = placed.join(classes, "comp").select("key", "class_key", "class_rows")
-    alone = signed.where("size = 0").select("key", F.col("key").alias("class_key"), F.lit(1).cast("long").alias("class_rows"))
-    return full.unionByName(alone).select(tables.id_of(F.col("key")).alias("doc_id"),
-                                          tables.id_of(F.col("class_key")).alias("class_id"), "class_rows")
+    return signed, comps

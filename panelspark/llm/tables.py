@@ -22,6 +22,12 @@ def id_of(key: Column) -> Column:
     return F.when(key != F.lit(NULL_ID), key)
 
 
+def digest_of(df: DataFrame) -> Column:
+    """128 bits of all columns of a row: equal for equal rows only; null differs from an empty string."""
+    parts = [F.coalesce(F.md5(F.col(f"`{c}`").cast("string").cast("binary")), F.lit("-")) for c in df.columns]
+    return F.unhex(F.md5(F.concat_ws(",", *parts).cast("binary")))
+
+
 def text_bytes(df: DataFrame, text: str) -> int:
     """Bytes of all texts; one aggregate over one column."""
     return int(df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0)

@@ -67,6 +67,19 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(sizes)
 
 
+def test_rows_that_share_an_identifier_are_told_apart(spark, tmp_path):
+    leak, far, near = prose(7777, 25), prose(900, 70), prose(901, 70)
+    rows = [(None, far, "en", "s0", 1), (None, prose(902, 70), "en", "s0", 2), (None, f"{prose(903, 40)} {leak}", "en", "s1", 3),
+            (5, near, "en", "s0", 4), (7, near + " tail", "en", "s0", 5), (7, prose(904, 70), "en", "s1", 6), (7, far, None, "s0", 7),
+            (8, prose(905, 70), "en", "s0", 8), (8, prose(905, 70), "en", "s0", 8), (None, None, None, None, 9), (None, "", "en", "s0", 10)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3).cache()
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).cache()
+    assert sorted(r.n_chars for r in kept.collect()) == [1, 2, 3, 4, 6, 8, 9, 10]
+    clean = corpus_pipeline.decontamination(spark, kept, str(tmp_path))
+    assert sorted(r.n_chars for r in clean.collect()) == [1, 2, 4, 6, 8, 9, 10] and clean.columns == docs.columns
+
+
 def test_queries_are_registered():
     names = {re.match(r"(op\d+_|pipeline)", n)[0] for n in queries.QUERIES}
     assert names == {"pipeline", *(f"op{n}_" for n in range(1, 11))}
