@@ -17,6 +17,9 @@ from panelspark.llm import tokens
 
 SENT = pa.schema([("range", pa.int64()), ("blob", pa.binary())])
 SCHEMA = "range long, blob binary"
+# A document in records and findings: ``key``, ``hi`` and ``lo`` of ``tables.addressed``.
+ADDRESS = (np.int64, np.int64, np.int64)
+Address = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def heads(*sorted_keys: np.ndarray) -> np.ndarray:
@@ -26,6 +29,19 @@ def heads(*sorted_keys: np.ndarray) -> np.ndarray:
     return head
 
 
+def addresses(batch: pa.RecordBatch) -> Address:
+    return tuple(batch[c].to_numpy() for c in ("key", "hi", "lo"))
+
+
+def taken(doc: Address, at) -> Address:
+    return tuple(x[at] for x in doc)
+
+
+def sorting(doc: Address, *columns: np.ndarray) -> np.ndarray:
+    """Order by document, then by the columns, the first of them first."""
+    return np.lexsort((*columns[::-1], *doc[::-1]))
+
+
 def slices(head: np.ndarray, n: int) -> list[tuple[int, int]]:
     """First and last position of every group among ``n`` rows, from where groups begin."""
     return list(zip(head, [*head[1:], n], strict=True)) if n else []
@@ -44,12 +60,13 @@ def by_hash(ranges: int, h: np.ndarray, *columns: np.ndarray) -> list[tuple[int,
     return _packed(((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), [h, *columns])
 
 
-def by_home(homes: int, doc: np.ndarray, *columns: np.ndarray) -> list[tuple[int, bytes]]:
+def by_home(homes: int, doc: Address, *columns: np.ndarray) -> list[tuple[int, bytes]]:
     """Blobs of findings by the home of their document, sorted by document and the first column."""
-    order = np.lexsort((columns[0], doc))
-    doc, columns = doc[order], [c[order] for c in columns]
-    at = ((tokens.mix(doc.view(np.uint64)) >> np.uint64(32)) * np.uint64(homes) >> np.uint64(32)).astype(np.int64)
-    return [(-1 - home, blob) for home, blob in _packed(at, [doc, *columns])]
+    order = sorting(doc, columns[0])
+    doc, columns = taken(doc, order), [c[order] for c in columns]
+    key, hi, lo = (x.view(np.uint64) for x in doc)
+    at = ((tokens.mix(key + tokens.mix(hi + tokens.mix(lo))) >> np.uint64(32)) * np.uint64(homes) >> np.uint64(32)).astype(np.int64)
+    return [(-1 - home, blob) for home, blob in _packed(at, [*doc, *columns])]
 
 
 def owned(judged: Callable[[list[bytes]], pa.RecordBatch]):

@@ -26,7 +26,7 @@ from panelspark.llm import ranges, tables, tokens
 BUFFER = 600_000
 
 
-def _first_of_each(h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _first_of_each(h: np.ndarray, doc: ranges.Address, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row of the smallest (doc, start) of every hash, and the rows that lie later than it."""
     order = np.argsort(h, kind="stable")
     same = np.zeros(len(h), dtype=bool)
@@ -34,15 +34,15 @@ def _first_of_each(h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[n
     again = same.copy()
     again[:-1] |= same[1:]
     single, many = order[~again], order[again]
-    many = many[np.lexsort((start[many], doc[many], h[many]))]
+    many = many[ranges.sorting((h[many], *ranges.taken(doc, many)), start[many])]
     head = np.ones(len(many), dtype=bool)
     head[1:] = h[many[1:]] != h[many[:-1]]
     lead = many[head][np.cumsum(head) - 1]
-    later = (doc[many] != doc[lead]) | (start[many] != start[lead])
+    later = np.any([x[many] != x[lead] for x in (*doc, start)], axis=0)
     return np.concatenate([single, many[head]]), many[later]
 
 
-_MARKS = pa.schema([("key", pa.int64()), ("marks", pa.binary())])
+_MARKS = pa.schema([("key", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("marks", pa.binary())])
 _LEFT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                    ("span_starts", pa.list_(pa.int32())), ("span_ends", pa.list_(pa.int32())), ("kept_text", pa.string())])
 
@@ -51,20 +51,20 @@ def _send(width: int, n_ranges: int):
     """Pack the windows of a partition by hash range; marks found here travel beside them."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        h, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, *doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
         keep, dead = _first_of_each(h, doc, start)
-        keep = keep[np.lexsort((start[keep], doc[keep]))]
-        return tokens.batch(ranges.SENT, ranges.by_hash(n_ranges, h[keep], doc[keep], start[keep])
-                            + ranges.by_home(n_ranges, doc[dead], start[dead]))
+        keep = keep[ranges.sorting(ranges.taken(doc, keep), start[keep])]
+        return tokens.batch(ranges.SENT, ranges.by_hash(n_ranges, h[keep], *ranges.taken(doc, keep), start[keep])
+                            + ranges.by_home(n_ranges, ranges.taken(doc, dead), start[dead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys = batch["key"].to_numpy()
+            docs = ranges.addresses(batch)
             for a, b, texts in tokens.Texts(batch["text"]).chunks():
                 hashes, bounds = tokens.words(texts)
                 at, owner = tokens.windows_within(bounds, width)
-                held.append((tokens.window_hash(tokens.prefix_hash(hashes), width)[at], keys[a:b][owner],
+                held.append((tokens.window_hash(tokens.prefix_hash(hashes), width)[at], *ranges.taken(docs, a + owner),
                              (at - bounds[owner]).astype(np.int32)))
                 size += len(at)
                 if size >= BUFFER:
@@ -79,20 +79,20 @@ def _send(width: int, n_ranges: int):
 def _judge(n_ranges: int):
     """Mark all but the first occurrence of every hash."""
     def judged(held: list[bytes]) -> pa.RecordBatch:
-        h, doc, start = ranges.columns_of(held, np.uint64, np.int64, np.int32)
+        h, *doc, start = ranges.columns_of(held, np.uint64, *ranges.ADDRESS, np.int32)
         _, dead = _first_of_each(h, doc, start)
-        return tokens.batch(ranges.SENT, ranges.by_home(n_ranges, doc[dead], start[dead]))
+        return tokens.batch(ranges.SENT, ranges.by_home(n_ranges, ranges.taken(doc, dead), start[dead]))
     return judged
 
 
 def _gather(held: list[bytes]) -> pa.RecordBatch:
     """The marked starts of every document."""
-    doc, start = ranges.columns_of(held, np.int64, np.int32)
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
-    cut = np.flatnonzero(ranges.heads(doc))
-    return tokens.batch(_MARKS, [(int(doc[a]), tokens.pack(start[a:b]))
-                                 for a, b in ranges.slices(cut, len(doc))])
+    *doc, start = ranges.columns_of(held, *ranges.ADDRESS, np.int32)
+    order = ranges.sorting(doc, start)
+    doc, start = ranges.taken(doc, order), start[order]
+    cut = np.flatnonzero(ranges.heads(*doc))
+    return tokens.batch(_MARKS, [(*(int(x[a]) for x in doc), tokens.pack(start[a:b]))
+                                 for a, b in ranges.slices(cut, len(start))])
 
 
 def _cut(width: int):
@@ -123,21 +123,21 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """Per row of ``docs``: what is left of its text once repeated windows are cut.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes when a window of ``width`` words that
-    covers it also starts earlier: in a smaller ``doc_id``, or further up in the same document.
+    covers it also starts earlier: in a smaller ``doc_id``, in a text of the same ``doc_id`` with a smaller md5
+    (halves as signed integers), or further up in the same document.
     Judged on the input, overlaps included. Returns ``doc_id``, ``n_words``, ``n_removed``,
     ``kept_sha256`` (of the kept words joined by one space), ``span_starts`` and ``span_ends`` (word
     positions of the maximal removed runs) and ``kept_text``.
 
-    Null and empty texts have no words. Rows that share a ``doc_id`` are one document (a mark of one
-    holds at the same position of the other; equal rows lose nothing to each other); a null
-    ``doc_id`` sorts first. An empty table gives an empty result; other columns are ignored.
+    Null and empty texts have no words. Rows that share a ``doc_id`` and the text are one document (they
+    lose nothing to each other); other rows of one ``doc_id`` are documents of their own. A null ``doc_id`` sorts first. An empty table gives an empty result; other columns are ignored.
     """
-    rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = tables.addressed(docs, doc_id, text)
     n_ranges = max(1, tables.text_bytes(docs, text) // 6 // windows_per_range)
     found = ranges.exchange(rows.mapInArrow(_send(width, n_ranges), ranges.SCHEMA)).mapInArrow(
         ranges.owned(_judge(n_ranges)), ranges.SCHEMA)
-    marks = ranges.exchange(found).mapInArrow(ranges.at_home(_gather), "key long, marks binary")
-    cut = rows.join(marks, "key", "left").mapInArrow(
+    marks = ranges.exchange(found).mapInArrow(ranges.at_home(_gather), "key long, hi long, lo long, marks binary")
+    cut = rows.join(marks, ["key", "hi", "lo"], "left").mapInArrow(
         _cut(width), "key long, n_words long, n_removed long, kept_sha256 string, span_starts array<int>, "
                      "span_ends array<int>, kept_text string")
     return cut.select(tables.id_of(F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256",

@@ -74,42 +74,43 @@ def _suffix_runs(texts: list[bytes], depth: int, gram: int):
     return tokens.mix(grams[anchor]), run, owner, begin - first[owner], length
 
 
-_FOUND = pa.schema([("key", pa.int64()), ("marks", pa.binary()), ("runs", pa.binary())])
+_FOUND = pa.schema([("key", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("marks", pa.binary()), ("runs", pa.binary())])
 
 
-def _findings(homes: int, kind: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[tuple]:
+def _findings(homes: int, kind: np.ndarray, doc: ranges.Address, start: np.ndarray, length: np.ndarray) -> list[tuple]:
     """Findings for their homes; neighbouring runs of one kind become one."""
-    order = np.lexsort((start, kind, doc))
-    kind, doc, start, length = kind[order], doc[order], start[order], length[order]
-    head = ranges.heads(doc, kind)
+    order = ranges.sorting(doc, kind, start)
+    kind, doc, start, length = kind[order], ranges.taken(doc, order), start[order], length[order]
+    head = ranges.heads(*doc, kind)
     head[1:] |= start[1:] != start[:-1] + length[:-1]
     at = np.flatnonzero(head)
     total = np.add.reduceat(length, at) if len(at) else length
-    return ranges.by_home(homes, doc[at], start[at].astype(np.int32), total.astype(np.int32), kind[at].astype(np.uint8))
+    return ranges.by_home(homes, ranges.taken(doc, at), start[at].astype(np.int32), total.astype(np.int32), kind[at].astype(np.uint8))
 
 
 def _send_runs(depth: int, gram: int, n_ranges: int):
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        h, run, doc, start, length = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((start, doc, run, h))
+        h, run, *doc, start, length = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = ranges.sorting((h, run, *doc), start)
         head = ranges.heads(h[order], run[order])
         size = np.diff(np.flatnonzero(head), append=len(order))
         many = np.repeat(size > 1, size)
         lead, again = order[head], order[many]
         twice = np.zeros(len(h), dtype=np.uint8)
         twice[lead] = size > 1
-        lead = lead[np.lexsort((start[lead], doc[lead]))]
-        marks = _findings(n_ranges, np.full(len(again), REPEATED), doc[again], start[again], length[again])
+        lead = lead[ranges.sorting(ranges.taken(doc, lead), start[lead])]
+        marks = _findings(n_ranges, np.full(len(again), REPEATED), ranges.taken(doc, again), start[again], length[again])
         return tokens.batch(ranges.SENT, marks + ranges.by_hash(
-            n_ranges, h[lead], run[lead], doc[lead], start[lead].astype(np.int32), length[lead].astype(np.int32), twice[lead]))
+            n_ranges, h[lead], run[lead], *ranges.taken(doc, lead), start[lead].astype(np.int32), length[lead].astype(np.int32),
+            twice[lead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys = batch["key"].to_numpy()
+            docs = ranges.addresses(batch)
             for a, b, texts in tokens.Texts(batch["text"]).chunks():
                 h, runs, owner, start, length = _suffix_runs(texts, depth, gram)
-                held.append((h, runs, keys[a:b][owner], start, length))
+                held.append((h, runs, *ranges.taken(docs, a + owner), start, length))
                 size += len(h)
                 if size >= BUFFER:
                     yield flush(held)
@@ -125,9 +126,10 @@ def _judge_runs(n_ranges: int):
 
 
 def _judged_runs(held: list[bytes]) -> tuple:
-    h, run, doc, start, length, twice = ranges.columns_of(held, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.uint8)
+    h, run, *doc, start, length, twice = ranges.columns_of(
+        held, np.uint64, np.uint64, *ranges.ADDRESS, np.int32, np.int32, np.uint8)
     order = np.lexsort((run, h))
-    h, run, doc, start, length, twice = (x[order] for x in (h, run, doc, start, length, twice))
+    h, run, *doc, start, length, twice = (x[order] for x in (h, run, *doc, start, length, twice))
     anchor, head = ranges.heads(h), ranges.heads(h, run)
     size = np.diff(np.flatnonzero(head), append=len(h))
     seen = np.maximum.reduceat(twice, np.flatnonzero(head))
@@ -141,18 +143,18 @@ def _judged_runs(held: list[bytes]) -> tuple:
     picks = [np.flatnonzero(kind == REPEATED), np.flatnonzero(apart & ~equal), np.flatnonzero(open_here & equal & head)]
     at = np.concatenate(picks)
     kinds = np.repeat([REPEATED, JUDGE, WITNESS], [len(p) for p in picks])
-    return kinds, doc[at], start[at], length[at]
+    return kinds, ranges.taken(doc, at), start[at], length[at]
 
 
 def _gather(held: list[bytes]) -> pa.RecordBatch:
     """Marked runs and open runs of every document."""
-    doc, start, length, kind = ranges.columns_of(held, np.int64, np.int32, np.int32, np.uint8)
-    order = np.lexsort((start, doc))
-    doc, start, length, kind = doc[order], start[order], length[order], kind[order]
-    cut, rows = np.flatnonzero(ranges.heads(doc)), []
-    for a, b in ranges.slices(cut, len(doc)):
+    *doc, start, length, kind = ranges.columns_of(held, *ranges.ADDRESS, np.int32, np.int32, np.uint8)
+    order = ranges.sorting(doc, start)
+    *doc, start, length, kind = (x[order] for x in (*doc, start, length, kind))
+    cut, rows = np.flatnonzero(ranges.heads(*doc)), []
+    for a, b in ranges.slices(cut, len(start)):
         done = kind[a:b] == REPEATED
-        rows.append((int(doc[a]), tokens.pack(start[a:b][done], length[a:b][done]) if done.any() else None,
+        rows.append((*(int(x[a]) for x in doc), tokens.pack(start[a:b][done], length[a:b][done]) if done.any() else None,
                      None if done.all() else tokens.pack(start[a:b][~done], length[a:b][~done], kind[a:b][~done])))
     return tokens.batch(_FOUND, rows)
 
@@ -161,8 +163,8 @@ def _send_suffixes(depth: int, n_ranges: int):
     """Hash every suffix of the open runs."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        h, doc, start, kind = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((start, doc, kind, h))
+        h, *doc, start, kind = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = ranges.sorting((h, kind, *doc), start)
         head = ranges.heads(h[order])
         size = np.diff(np.flatnonzero(head), append=len(order))
         many = np.repeat(size > 1, size)
@@ -170,16 +172,16 @@ def _send_suffixes(depth: int, n_ranges: int):
         again = again[kind[again] == JUDGE]
         twice = np.zeros(len(h), dtype=np.uint8)
         twice[lead] = (size > 1) | (kind[lead] == WITNESS)
-        lead = lead[np.lexsort((start[lead], doc[lead]))]
-        marks = _findings(n_ranges, np.full(len(again), REPEATED), doc[again], start[again], np.ones(len(again), np.int64))
+        lead = lead[ranges.sorting(ranges.taken(doc, lead), start[lead])]
+        marks = _findings(n_ranges, np.full(len(again), REPEATED), ranges.taken(doc, again), start[again], np.ones(len(again), np.int64))
         return tokens.batch(ranges.SENT, marks + ranges.by_hash(
-            n_ranges, h[lead], doc[lead], start[lead].astype(np.int32), twice[lead]))
+            n_ranges, h[lead], *ranges.taken(doc, lead), start[lead].astype(np.int32), twice[lead]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             texts = tokens.Texts(batch["text"])
-            for i, key in enumerate(batch["key"].to_pylist()):
+            for i, doc in enumerate(zip(*ranges.addresses(batch), strict=True)):
                 text = texts[i]
                 prefix = tokens.prefix_hash(tokens.byte_codes(np.frombuffer(text, dtype=np.uint8)))
                 start, length, kind = tokens.unpack(batch["runs"][i].as_py(), np.int32, np.int32, np.uint8)
@@ -187,7 +189,7 @@ def _send_suffixes(depth: int, n_ranges: int):
                 at = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
                 kind = np.repeat(kind, length)[at + depth <= len(text)]
                 at = at[at + depth <= len(text)]
-                held.append((tokens.span_hash(prefix, at, at + depth), np.full(len(at), key, np.int64), at, kind))
+                held.append((tokens.span_hash(prefix, at, at + depth), *(np.full(len(at), x, np.int64) for x in doc), at, kind))
                 size += len(at)
                 if size >= BUFFER:
                     yield flush(held)
@@ -204,12 +206,12 @@ def _judge_suffixes(n_ranges: int):
 
 
 def _judged_suffixes(held: list[bytes]) -> tuple:
-    h, doc, start, twice = ranges.columns_of(held, np.uint64, np.int64, np.int32, np.uint8)
+    h, *doc, start, twice = ranges.columns_of(held, np.uint64, *ranges.ADDRESS, np.int32, np.uint8)
     order = np.argsort(h, kind="stable")
-    h, doc, start, twice = h[order], doc[order], start[order], twice[order]
+    h, *doc, start, twice = (x[order] for x in (h, *doc, start, twice))
     size = np.diff(np.flatnonzero(ranges.heads(h)), append=len(h))
     at = np.flatnonzero(np.repeat(size > 1, size) & (twice == 0))
-    return np.full(len(at), REPEATED), doc[at], start[at], np.ones(len(at), np.int64)
+    return np.full(len(at), REPEATED), ranges.taken(doc, at), start[at], np.ones(len(at), np.int64)
 
 
 _LEFT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -248,27 +250,26 @@ def remove_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256``,
     ``span_starts``, ``span_ends`` and ``kept_bytes`` (binary: a cut may split a character).
 
-    Null and empty texts have no bytes, texts below ``depth`` lose none. Rows that share a ``doc_id``
-    are one document whose texts both count as places; marks of one hold in the other where they fit.
-    A null ``doc_id`` is one more value. An empty table gives an empty result; other columns are ignored.
+    Null and empty texts have no bytes, texts below ``depth`` lose none. Every row is a place of its own, also
+    one that shares its ``doc_id`` or repeats another row, and loses only what its own text repeats. A null ``doc_id`` is one more value. An empty table gives an empty result; other columns are ignored.
     """
     if not 0 < gram <= depth:
         raise ValueError("gram must lie between 1 and depth")
-    rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = tables.addressed(docs, doc_id, text)
     size = tables.text_bytes(docs, text)
     n_ranges = max(1, 2 * size // (depth - gram + 2) // records_per_range)
     first = ranges.exchange(rows.mapInArrow(_send_runs(depth, gram, n_ranges), ranges.SCHEMA)).mapInArrow(
         ranges.owned(_judge_runs(n_ranges)), ranges.SCHEMA)
-    found = materialize(ranges.exchange(first).mapInArrow(ranges.at_home(_gather), "key long, marks binary, runs binary"),
+    found = materialize(ranges.exchange(first).mapInArrow(ranges.at_home(_gather), "key long, hi long, lo long, marks binary, runs binary"),
                         "found")
     n_ranges = max(1, size // 8 // records_per_range)
-    still_open = rows.join(found.where("runs is not null").select("key", "runs"), "key")
+    still_open = rows.join(found.where("runs is not null").select("key", "hi", "lo", "runs"), ["key", "hi", "lo"])
     second = ranges.exchange(still_open.mapInArrow(_send_suffixes(depth, n_ranges), ranges.SCHEMA)).mapInArrow(
         ranges.owned(_judge_suffixes(n_ranges)), ranges.SCHEMA)
-    more = ranges.exchange(second).mapInArrow(ranges.at_home(_gather), "key long, marks binary, runs binary")
-    marks = found.where("marks is not null").select("key", "marks").join(
-        more.select("key", F.col("marks").alias("more")), "key", "full")
-    cut = rows.join(marks, "key", "left").mapInArrow(
+    more = ranges.exchange(second).mapInArrow(ranges.at_home(_gather), "key long, hi long, lo long, marks binary, runs binary")
+    marks = found.where("marks is not null").select("key", "hi", "lo", "marks").join(
+        more.select("key", "hi", "lo", F.col("marks").alias("more")), ["key", "hi", "lo"], "full")
+    cut = rows.join(marks, ["key", "hi", "lo"], "left").mapInArrow(
         _cut(depth), "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                      "span_starts array<int>, span_ends array<int>, kept_bytes binary")
     return cut.select(tables.id_of(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.runtime import materialize
+
 # Stands for a null identifier inside an operator; such rows are treated as one document.
 NULL_ID = -(1 << 63)
 
@@ -22,6 +24,23 @@ def id_of(key: Column) -> Column:
     return F.when(key != F.lit(NULL_ID), key)
 
 
+def addressed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows as ``key``, ``hi``, ``lo`` and ``text``; rows that agree in the first three are equal in ``doc_id`` and text.
+
+    ``hi`` and ``lo`` are the halves of the text's md5 where the ``doc_id`` has other texts as well, and else 0, so
+    that the records of ordinary rows stay small once packed.
+    """
+    def half(at: int) -> Column:
+        return F.conv(F.substring(F.md5(F.coalesce("text", F.lit("")).cast("binary")), at, 16), 16, -10).cast("long")
+
+    rows = docs.select(key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("hi", half(1)).withColumn("lo", half(17))
+    several = materialize(rows.groupBy("key").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("hi", "lo") for f in (F.min, F.max)))
+                          .where("min_hi <> max_hi or min_lo <> max_lo").select("key", F.lit(True).alias("several")), "several")
+    return rows.join(several, "key", "left").select(
+        "key", *(F.when(F.col("several"), F.col(c)).otherwise(F.lit(0).cast("long")).alias(c) for c in ("hi", "lo")), "text")
+
+
 def digest_of(df: DataFrame) -> Column:
     """128 bits of all columns of a row: equal for equal rows only; null differs from an empty string."""
     parts = [F.coalesce(F.md5(F.col(f"`{c}`").cast("string").cast("binary")), F.lit("-")) for c in df.columns]

@@ -107,6 +107,19 @@ def test_suffix_dedup(docs, rows, empty, depth, gram):
     assert suffix_dedup.remove_repeated_bytes(empty).collect() == []
 
 
+def test_dedup_tells_rows_of_one_identifier_apart(spark):
+    passage, other = prose(40, 60), prose(41, 300)
+    rows = [(1, f"{prose(42, 100)} {passage}"), (None, f"{prose(43, 100)} {passage} {prose(44, 50)}"), (None, other),
+            (7, f"{prose(45, 30)} {passage}"), (7, prose(46, 300)), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    got = {(r.doc_id, r.n_words): r for r in substring_dedup.remove_repeated_windows(docs, windows_per_range=50).collect()}
+    assert {k: r.n_removed for k, r in got.items()} == {(1, 160): 60, (None, 210): 0, (None, 300): 0, (7, 90): 60, (7, 300): 0, (None, 0): 0}
+    left = suffix_dedup.remove_repeated_bytes(docs, records_per_range=100).collect()
+    size = len(passage.encode())
+    assert len(left) == len(rows) and sorted(r.n_removed // size for r in left) == [0] * 4 + [1] * 3
+    assert {bytes(r.kept_bytes).decode() for r in left if not r.n_removed} == {other, rows[4][1], ""}
+
+
 def low_words(text):
     folded = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
