@@ -82,7 +82,8 @@ def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item
         known = of_windows.select("k", "h").distinct()
         if known.count() <= broadcast_rows:
             known = F.broadcast(known)
-        worded = rows.select("key", _words(F.lower("text")).alias("w"))
+        # word by word, as for windows: lower() looks at neighbours (final sigma)
+        worded = rows.select("key", F.transform(_words(F.col("text")), F.lower).alias("w"))
         seen = [worded.select("key", F.size("w").alias("n"), F.posexplode(_shingles("w", k)).alias("pos", "h"))
                 .withColumn("k", F.lit(k)).join(known, ["k", "h"]) for k in sizes]
         matches = materialize(reduce(DataFrame.unionByName, seen), "matches")

@@ -149,6 +149,13 @@ def test_decontaminate(spark, docs, rows, empty):
     assert decontaminate.contamination(empty, bench).collect() == []
 
 
+def test_decontaminate_folds_words_apart(spark):
+    words = ["ΟΔΟΣ", "ΒΙΒΛΙΟ", "ΤΟΠΟΣ", "ΛΟΓΟΣ", "ΝΟΜΟΣ", "ΧΡΟΝΟΣ"] * 3
+    docs = spark.createDataFrame([(1, ".".join(words))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert decontaminate.contamination(docs, bench).first().n_hit == len(words)
+
+
 def bag(text):
     w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(text or "")]
     return Counter(tuple(w[s:s + 5]) for s in range(max(1, len(w) - 4))) if w else Counter()
