@@ -24,17 +24,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _words(text: Column) -> Column:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text in lower case; null has none."""
-    parts = F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    return F.array_remove(parts, "")
-
-
-def _exact_words(text: Column) -> Column:
-    return _words(F.translate(text, _UPPER, _LOWER))
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text whose letters A-Z, and no others, were folded; null has none."""
+    # lower() folds just A-Z where the text is ASCII, and is much faster than translate()
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    folded = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+    return F.array_remove(F.split(F.coalesce(folded, F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 def _shingles(words: str, k: int) -> Column:
-    """Hashes of all runs of ``k`` words; lower-casing may fold more letters than A-Z here."""
+    """Hashes of all runs of ``k`` words."""
     return F.expr(f"if(size({words}) >= {k}, transform(sequence(1, size({words}) - {k - 1}), "
                   f"i -> xxhash64(slice({words}, i, {k}))), array())")
 
@@ -42,7 +40,7 @@ def _shingles(words: str, k: int) -> Column:
 def _windows(benchmark: DataFrame, item_id: str, text: str, width: int) -> DataFrame:
     """Distinct windows: their words, how many, and the items (as sorted strings) that hold them."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
-                             _exact_words(F.col(text).cast("string")).alias("w")).where(F.size("w") > 0)
+                             _words(F.col(text).cast("string")).alias("w")).where(F.size("w") > 0)
     cut = items.select("item", F.explode(F.expr(
         f"transform(sequence(1, greatest(size(w) - {width - 1}, 1)), i -> slice(w, i, {width}))")).alias("win"))
     return cut.groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("items")).select(
@@ -63,9 +61,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     by its own words. A repeated ``item_id`` counts once, a null one as an empty string. With no
     benchmark window every document is clean. Other columns are ignored.
     """
-    rows = docs.select(tables.key_of(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
-    per_row = judged(rows, benchmark, item_id, item_text, width, shingle, broadcast_rows)
-    return per_row.select(tables.id_of(F.col("key")).alias("doc_id"), *per_row.columns[1:])
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # the identifier travels behind a digest of the row, so that rows of one identifier do not gather under one key
+    key = F.concat_ws("|", F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.col("doc_id").cast("string"))
+    per_row = judged(given.select(key.alias("key"), "text"), benchmark, item_id, item_text, width, shingle, broadcast_rows)
+    return per_row.select(F.try_element_at(F.split("key", r"\|"), F.lit(2)).cast("long").alias("doc_id"), *per_row.columns[1:])
 
 
 def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", width: int = 10,
@@ -73,8 +73,7 @@ def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item
     """``contamination`` of rows of ``key`` (of any type, not null) and ``text``; ``key`` takes the place of ``doc_id``."""
     windows = materialize(_windows(benchmark, item_id, item_text, width), "windows")
     sizes = sorted(r[0] for r in windows.select(F.least("len", F.lit(shingle)).alias("k")).distinct().collect())
-    folded = windows.select("wid", "len", F.transform("win", F.lower).alias("w"),
-                            F.least("len", F.lit(shingle)).alias("k"))
+    folded = windows.select("wid", "len", F.col("win").alias("w"), F.least("len", F.lit(shingle)).alias("k"))
     tokens = [folded.where(F.col("k") == k).select(
         "wid", "len", F.lit(k).alias("k"), F.posexplode(_shingles("w", k)).alias("offset", "h")) for k in sizes]
     if tokens:
@@ -82,8 +81,7 @@ def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item
         known = of_windows.select("k", "h").distinct()
         if known.count() <= broadcast_rows:
             known = F.broadcast(known)
-        # word by word, as for windows: lower() looks at neighbours (final sigma)
-        worded = rows.select("key", F.transform(_words(F.col("text")), F.lower).alias("w"))
+        worded = rows.select("key", _words(F.col("text")).alias("w"))
         seen = [worded.select("key", F.size("w").alias("n"), F.posexplode(_shingles("w", k)).alias("pos", "h"))
                 .withColumn("k", F.lit(k)).join(known, ["k", "h"]) for k in sizes]
         matches = materialize(reduce(DataFrame.unionByName, seen), "matches")
@@ -100,8 +98,7 @@ def judged(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item
         rows = rows.join(found, "key", "left")
     else:
         rows = rows.withColumn("maybe", F.lit(None).cast("array<struct<start:int,len:int,win:string,items:array<string>>>"))
-    hits = (rows.select("key", F.when(F.col("maybe").isNull(), _words(F.lower("text")))
-                        .otherwise(_exact_words(F.col("text"))).alias("w"), "maybe")
+    hits = (rows.select("key", _words(F.col("text")).alias("w"), "maybe")
             .select("key", F.size("w").alias("n_words"), F.expr(
                 "filter(maybe, c -> array_join(slice(w, c.start + 1, c.len), ' ') = c.win)").alias("hit")))
     items = F.expr("array_sort(array_distinct(flatten(transform(hit, c -> c.items))))")

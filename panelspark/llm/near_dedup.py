@@ -253,14 +253,16 @@ def first_of_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     named = _named(docs, doc_id, text)
     comps = _compared(named, threshold, bands, rows)[1]
-    keyed = docs.withColumn("row_digest", tables.digest_of(docs))
-    held = keyed.select(tables.key_of(doc_id).alias("key"), "row_digest", F.xxhash64(F.col(text).cast("string")).alias("node"),
+    mark = tables.free_name(docs, "row_digest")
+    keyed = docs.withColumn(mark, tables.digest_of(docs))
+    held = keyed.select(tables.key_of(doc_id).alias("key"), F.col(mark).alias("row_digest"), F.xxhash64(F.col(text).cast("string")).alias("node"),
                         F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
     placed = held.where("worded").join(comps, "node", "left").select("key", "row_digest", F.coalesce("comp", "node").alias("comp"))
     first = placed.groupBy("comp").agg(F.min(F.struct("key", "row_digest")).alias("first")).select("first.row_digest")
-    kept = materialize(first.unionByName(held.where("not worded").select("row_digest").distinct()), "kept")
+    kept = materialize(first.unionByName(held.where("not worded").select("row_digest").distinct()).select(
+        F.col("row_digest").alias(mark)), "kept")
     # equal rows meet on the map side first, so that many of them do not gather
-    return keyed.dropDuplicates(["row_digest"]).join(kept, "row_digest", "left_semi").select(*docs.columns)
+    return keyed.dropDuplicates([mark]).join(kept, mark, "left_semi").select(*docs.columns)
 
 
 def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -47,6 +47,14 @@ def digest_of(df: DataFrame) -> Column:
     return F.unhex(F.md5(F.concat_ws(",", *parts).cast("binary")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_bytes(df: DataFrame, text: str) -> int:
     """Bytes of all texts; one aggregate over one column."""
     return int(df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0)

@@ -149,6 +149,46 @@ def test_decontaminate(spark, docs, rows, empty):
     assert decontaminate.contamination(empty, bench).collect() == []
 
 
+def overlaps(rows, items, width=10):
+    """Per row: words, words hit, items hit; by comparing every window."""
+    windows = defaultdict(set)
+    for item, text in items:
+        w = low_words(text)
+        for s in range(max(1, len(w) - width + 1) if w else 0):
+            windows[tuple(w[s:s + width])].add("" if item is None else str(item))
+    sizes = {len(k) for k in windows}
+    for text in rows:
+        w, found, mask = low_words(text), set(), set()
+        for n in sizes:
+            for s in range(len(w) - n + 1):
+                if ids := windows.get(tuple(w[s:s + n])):
+                    mask.update(range(s, s + n))
+                    found |= ids
+        yield len(w), len(mask), len(found), sha(",".join(sorted(found)))
+
+
+def found_in(frame):
+    return sorted((r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in frame.collect())
+
+
+def test_decontaminate_folds_capitals(spark):
+    item = "the quick brown fox of nasa jumps over a lazy dog again today"
+    docs = [item, item.capitalize(), item.upper(), item.title(), "Mcdonald I saw " + item, "XML " + item.upper() + " END",
+            " ".join(w[:2] + w[2:].upper() for w in item.split()), item.replace(" ", ", "), "É" + item, item.swapcase() + "É"]
+    rows = [(i % 3, t) for i, t in enumerate(docs)] + [(None, t) for t in docs] + [(None, docs[1])]
+    bench = [(1, item.title()), (2, "QUICK brown")]
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"),
+                                      spark.createDataFrame(bench, "item_id long, text string"))
+    assert found_in(got) == sorted(overlaps([t for _, t in rows], bench))
+    assert sorted(r.doc_id is None for r in got.collect()) == sorted(i is None for i, _ in rows)
+
+
+def test_decontaminate_whole_tables(spark):
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    expected = sorted(overlaps([r.text for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()]))
+    assert found_in(decontaminate.contamination(docs, bench)) == expected and any(e[1] for e in expected)
+
+
 def test_decontaminate_folds_words_apart(spark):
     words = ["ΟΔΟΣ", "ΒΙΒΛΙΟ", "ΤΟΠΟΣ", "ΛΟΓΟΣ", "ΝΟΜΟΣ", "ΧΡΟΝΟΣ"] * 3
     docs = spark.createDataFrame([(1, ".".join(words))], "doc_id long, text string")
