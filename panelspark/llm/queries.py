@@ -16,8 +16,11 @@ from panelspark.llm import (
     near_dedup,
     pii,
     quality_rules,
+    resample,
     substring_dedup,
     suffix_dedup,
+    toxicity,
+    turn_repair,
     weak_labels,
 )
 from panelspark.llm.tables import table
@@ -83,7 +86,29 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), "pii_kinds")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from rows outside the held-out third."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a hash of their turns and repaired."""
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.repaired_conversations(turn_repair.damage(turns), turns)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A twentieth of the documents, drawn towards the benchmark's words."""
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_classifier, op2_minhash_near_dedup, op3_source_mixing, op4_chat_formatting, op5_suffix_array_dedup,
-    op6_language_id, op7_benchmark_decontamination, op8_quality_rules, op9_substring_dedup, op10_pii, pipeline)}
+    op6_language_id, op7_benchmark_decontamination, op8_quality_rules, op9_substring_dedup, op10_pii,
+    op11_toxicity, op12_conversation_repair, op13_importance_resampling, pipeline)}
 ORACLES: dict[str, str] = {}
