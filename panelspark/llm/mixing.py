@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from panelspark.llm import tables
 from panelspark.runtime import materialize
 
-# Words that the knapsack may have to close; a larger rest is first cut with the largest sizes.
-KNAPSACK = 1 << 16
+# Words that the knapsack closes at first; a larger rest is cut with the largest sizes before.
+WINDOW = 1 << 16
 # Hash buckets per source and size.
 BUCKETS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,7 +50,7 @@ def targets(sizes: Sequence[int], weights: Sequence[float], most: float) -> list
 
 def _knapsack(sizes: np.ndarray, counts: np.ndarray, rest: int) -> np.ndarray:
     """How many of each size sum up to ``rest``, or to the largest reachable value below it."""
-    came = np.full(rest + 1, -1, dtype=np.int64)
+    came = np.full(rest + 1, -1, dtype=np.int32)
     reach = np.zeros(rest + 1, dtype=bool)
     reach[0] = True
     steps = []
@@ -73,21 +73,41 @@ def _knapsack(sizes: np.ndarray, counts: np.ndarray, rest: int) -> np.ndarray:
 
 
 def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each distinct size (> 0) to take so that their sizes sum up to ``budget``."""
+    """How many documents of each distinct size (> 0) to take so that their sizes sum up to ``budget``, or else to the
+    largest reachable sum below.
+
+    Shares in proportion come first, then the largest sizes until ``WINDOW`` words remain, and the knapsack closes the rest.
+    Where it cannot, documents are given back and it runs over a wider window, up to 2 * largest + 1 of every size: an
+    order of takes and returns that keeps each partial sum within the largest size visits one sum twice if it is longer, and
+    what lies between the two changes nothing. So the widest window holds a best sum, whatever the number of documents.
+    """
     total = int((sizes * counts).sum())
     if budget >= total:
         return counts.copy()
+    unit = int(np.gcd.reduce(sizes))
+    sizes, budget, total = sizes // unit, budget // unit, total // unit
     used = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
     rest = budget - int((sizes * used).sum())
     for i in np.argsort(-sizes, kind="stable"):
-        if rest <= KNAPSACK:
+        if rest <= WINDOW:
             break
         more = min(int(counts[i] - used[i]), rest // int(sizes[i]))
         used[i] += more
         rest -= more * int(sizes[i])
-    if rest <= KNAPSACK:
-        used += _knapsack(sizes, counts - used, rest)
-    return used
+    most = np.minimum(used, 2 * int(sizes.max()) + 1)
+    best, window = used, 0
+    while True:
+        back, room = np.zeros_like(used), window
+        for i in np.argsort(sizes, kind="stable"):
+            back[i] = min(int(most[i]), room // int(sizes[i]))
+            room -= int(back[i]) * int(sizes[i])
+        kept = used - back
+        took = kept + _knapsack(sizes, counts - kept, budget - int((sizes * kept).sum()))
+        if (sizes * took).sum() > (sizes * best).sum():
+            best = took
+        if (sizes * best).sum() == budget or (back == most).all():
+            return best
+        window = 8 * window or WINDOW
 
 
 def _plan(histogram: pd.DataFrame) -> pd.DataFrame:
@@ -111,14 +131,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     Returns ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``repeats`` and ``taken``
     (``size`` times ``repeats``). A source's ``taken`` sums up to its target, rounded to whole words,
     or the nearest reachable sum below; no row is taken more than ``ceil(most)`` times. The choice
-    depends on ``seed`` and ``doc_id`` alone, so reruns agree; rows with one ``doc_id``, size and source
+    depends on ``seed``, ``doc_id`` and text alone, so reruns agree; rows that agree in those and in source
     are interchangeable. Null is a source and a ``doc_id`` like any other; texts without words are never
     taken. An empty table gives an empty result. The list of sources, one row each, passes the driver.
     """
     sized = materialize(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        (F.pmod(F.xxhash64(F.lit(seed), tables.key_of(doc_id)), F.lit(1 << 40))).alias("hash")), "sized")
+        # the text spreads rows that share an identifier
+        (F.pmod(F.xxhash64(F.lit(seed), tables.key_of(doc_id), F.col(text).cast("string")), F.lit(1 << 40))).alias("hash")), "sized")
     found = sized.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
     found = sorted(found, key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
     goal = targets([r["source_size"] for r in found], [weights[i % len(weights)] for i in range(len(found))], most)

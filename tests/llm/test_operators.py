@@ -271,19 +271,32 @@ def test_targets_stop_and_reshare():
     assert mixing.targets([10, 1000, 0], [3, 1, 1], 3) == [30.0, 980.0, 0.0]
 
 
-@pytest.mark.parametrize("seed", range(20))
+def best_sum(sizes, counts, budget) -> int:
+    reach = {0}
+    for size, n in zip(sizes, counts, strict=True):
+        reach = {r + k * int(size) for r in reach for k in range(int(n) + 1) if r + k * int(size) <= budget}
+    return max(reach)
+
+
+@pytest.mark.parametrize("seed", range(60))
 def test_fit_counts_reaches_the_best_sum(seed):
     r = random.Random(seed)
-    sizes = np.array(sorted(r.sample(range(1, 40), r.randint(1, 5))))
+    most = (12, 60, 3000, 120_000)[seed % 4]
+    sizes = np.array(sorted(r.sample(range(1, most + 1), r.randint(1, 5))))
     counts = np.array([r.randint(1, 4) for _ in sizes])
     budget = r.randint(0, int((sizes * counts).sum()))
-    used = mixing.fit_counts(sizes, counts, budget)
-    reach = {0}
-    for s, c in zip(sizes, counts, strict=True):
-        reach = {x + k * int(s) for x in reach for k in range(c + 1)}
-    got = int((used * sizes).sum())
-    assert (used <= counts).all() and (used >= 0).all() and got <= budget
-    assert budget - got <= budget - max(x for x in reach if x <= budget) or budget - got < sizes.max()
+    took = mixing.fit_counts(sizes, counts, budget)
+    assert (took >= 0).all() and (took <= counts).all() and (sizes * took).sum() == best_sum(sizes, counts, budget)
+
+
+@pytest.mark.parametrize("sizes,counts,budget,best", [
+    ([80_000, 90_000, 100_000], [1, 1, 1], 170_000, 170_000), ([20_000, 30_000], [3, 3], 110_000, 110_000),
+    ([80_001, 90_001, 100_003], [1, 1, 1], 170_002, 170_002), ([7, 10], [1, 1_000_000_000], 9_999_999_995, 9_999_999_990),
+    ([7, 10], [3, 1_000_000_000], 5_000_000_001, 5_000_000_001), ([70_001, 70_003], [4, 4], 350_011, 350_011)])
+def test_fit_counts_gives_back(sizes, counts, budget, best):
+    sizes, counts = np.array(sizes), np.array(counts)
+    took = mixing.fit_counts(sizes, counts, budget)
+    assert (took >= 0).all() and (took <= counts).all() and (sizes * took).sum() == best
 
 
 def test_chat(spark, empty):
