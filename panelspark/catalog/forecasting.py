@@ -8,7 +8,7 @@ from panelspark.catalog import query, table
 from panelspark.catalog.learning import ML_SQL, PRIORITIES, SEGMENTS, ml_orders
 from panelspark.catalog.statistics import kpi_sql
 from panelspark.functions import scalars as S
-from panelspark.operators import joins
+from panelspark.operators import asof, joins
 from panelspark.plans import forecast, models
 from panelspark.runtime import scratch_path
 from panelspark.sources import writers
@@ -147,3 +147,51 @@ def fc8(spark, sf):
     """Temperature, humidity and the air index are constant in the scaffold and are left out."""
     out = forecast.feature_correlations(predicted(spark, sf), ["sector"])
     return out.withColumn("r", F.round("r", 6))
+
+
+@query("fc1_asof_events", """WITH views AS (SELECT user_id, ts, max(value) AS seen FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT e.event_id, round(v.seen, 4) AS seen FROM events e ASOF LEFT JOIN views v ON e.user_id = v.user_id AND e.ts >= v.ts""")
+def fc1_asof(spark, sf):
+    """Value of the user's last view on or before each event."""
+    events = table(spark, sf, "events")
+    views = events.where("event_type = 'view'").select("user_id", "ts", F.col("value").alias("seen"))
+    return asof.asof_join(events.select("event_id", "user_id", "ts"), views, ["user_id"], "ts", ["seen"]).select(
+        "event_id", F.round("seen", 4).alias("seen"))
+
+
+# Mean order value of a place's customers per day stands for its observed temperature, the number of orders for its humidity.
+OBSERVED_SQL = """observed AS (SELECT n_name AS location, strftime(o_orderdate, '%Y-%m-%d') AS date, avg(o_totalprice) / 5000 AS temperature, count(*) AS humidity
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey <> 3 GROUP BY ALL),
+lagged AS (SELECT s.* REPLACE (strftime(s.date::DATE - INTERVAL 20 DAY, '%Y-%m-%d') AS date) FROM scaffold s),
+seen AS (SELECT s.location, s.sector, s.zone, s.date, s.population_density, round(coalesce(o.temperature, s.temperature), 4) AS temperature,
+  coalesce(o.humidity, s.humidity)::INTEGER AS humidity FROM lagged s ASOF LEFT JOIN observed o ON s.location = o.location AND s.date >= o.date)"""
+
+
+def observed_days(spark, sf):
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    nation = table(spark, sf, "nation").where("n_nationkey <> 3").select("n_nationkey", F.col("n_name").alias("location"))
+    day = S.format_date(F.col("o_orderdate").cast("date")).alias("date")
+    return orders.join(customer, "o_custkey").join(nation, "n_nationkey").groupBy("location", day).agg(
+        (F.avg("o_totalprice") / 5000).alias("temperature"), F.count(F.lit(1)).alias("humidity"))
+
+
+def observed_future(spark, sf):
+    """Scaffold that begins 20 days early, so that its days lie between and after the observed ones."""
+    early = future(spark, sf).withColumn("date", S.format_date(F.date_sub(F.col("date").cast("date"), 20)))
+    return forecast.with_covariates(early, observed_days(spark, sf), ["location"], ["temperature", "humidity"])
+
+
+@query("fc1_covariates", f"WITH {ENTITY_SQL}, {OBSERVED_SQL} SELECT location, sector, zone, date, temperature, humidity FROM seen")
+def fc1_covariates(spark, sf):
+    """Observed covariates in place of constants: the last one on or before each day."""
+    return observed_future(spark, sf).select(*SERIES, "date", F.round("temperature", 4).alias("temperature"), "humidity")
+
+
+@query("fc2_predict_covariates", f"""WITH {ENTITY_SQL}, {OBSERVED_SQL} SELECT location, sector, zone, date,
+  round(greatest(50.0::DOUBLE, least(1200.0::DOUBLE, 40.0::DOUBLE + 3.0713 * temperature + 1.1317::DOUBLE * humidity + 0.01373291::DOUBLE * population_density)), 2) AS predicted_waste FROM seen""")
+def fc2_covariates(spark, sf):
+    d = observed_future(spark, sf).withColumn("temperature", F.round("temperature", 4))
+    value = (F.lit(40.0) + F.lit(3.0713) * F.col("temperature") + F.lit(1.1317) * F.col("humidity")
+             + F.lit(0.01373291) * F.col("population_density"))
+    return forecast.finish(d, value, SERIES, columns=["date", "predicted_waste"])

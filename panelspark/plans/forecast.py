@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import fixed_values as fv
 from panelspark.functions import scalars as S
-from panelspark.operators import correlation, joins, summary
+from panelspark.operators import asof, correlation, joins, summary
 from panelspark.sources import dimensions
 
 
@@ -23,8 +23,8 @@ def scaffold(entities: DataFrame, days: int, start: dt.date | Column | None = No
     """One row per entity and day with calendar, season and constant environment columns.
 
     The dates are exploded inside the row, so entities are neither joined nor moved. ``start``
-    may be a column of ``entities``. ``environment`` replaces the default constants; a table
-    of real covariates can be joined on (entity, date) afterwards.
+    may be a column of ``entities``. ``environment`` replaces the default constants;
+    :func:`with_covariates` puts observed values in their place.
     """
     start = F.lit(start or tomorrow()) if not isinstance(start, Column) else start
     first = start.cast("date")
@@ -36,6 +36,18 @@ def scaffold(entities: DataFrame, days: int, start: dt.date | Column | None = No
     return d.withColumn("season_enc", S.season_code("month")).drop("_d")
 
 
+def with_covariates(days: DataFrame, covariates: DataFrame, by: list[str], names: list[str], date: str = "date") -> DataFrame:
+    """Replace environment columns by the last observed ones on or before the day (as-of join).
+
+    ``covariates`` has ``by``, ``date`` and ``names``; a day before the first observation, or a null observation, keeps the constant.
+    """
+    day = F.col(date).cast("date").alias("_day")
+    given = days.withColumnsRenamed({n: f"_default_{n}" for n in names}).select("*", day)
+    joined = asof.asof_join(given, covariates.select(*by, *names, day), by, "_day", names)
+    filled = {n: F.coalesce(F.col(n).cast(days.schema[n].dataType), F.col(f"_default_{n}")) for n in names}
+    return joined.withColumns(filled).select(*days.columns)
+
+
 def city_metadata(entities: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """population, area_km2 and population_density per location; defaults for unknown places."""
     if metadata is None:
@@ -65,12 +77,16 @@ def finish(scored: DataFrame, prediction: Column | str, keep: list[str], bounds=
 
 def predict_future(entities: DataFrame, model: PipelineModel, days: int = 7, start: dt.date | None = None,
                    on_unknown: str = "error", metadata: DataFrame | None = None,
-                   environment: dict[str, float] | None = None) -> DataFrame:
+                   environment: dict[str, float] | None = None, covariates: DataFrame | None = None) -> DataFrame:
     """Forecast every entity for ``days`` days (published horizon: 1 to 14) in one batch.
 
-    ``metadata`` and ``environment`` replace the built-in places and constant weather.
+    ``metadata`` and ``environment`` replace the built-in places and constant weather; ``covariates`` (location, date as text
+    and any of temperature, humidity, pollution_index) give the last observed values.
     """
     features = future_features(entities, days, start, on_unknown, metadata, environment)
+    if covariates is not None:
+        names = [c for c in ("temperature", "humidity", "pollution_index") if c in covariates.columns]
+        features = with_covariates(features, covariates, ["location"], names)
     return finish(model.transform(features), "prediction", ["location", "sector", "zone"])
 
 
