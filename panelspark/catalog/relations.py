@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from panelspark.catalog import query, table
 from panelspark.catalog.columns import PRIORITY_WEIGHT, date_text, _DATE_TEXT
 from panelspark.functions import scalars as S
-from panelspark.operators import joins, project, quality, quantiles, ranking, sampling, summary
+from panelspark.operators import audit, dictionary, joins, project, quality, quantiles, ranking, sampling
+from panelspark.runtime import materialize, scratch_path
 from panelspark.sources import dimensions
 
 
@@ -204,8 +205,40 @@ SELECT 0 AS step, 'loaded' AS stage, count(*) AS row_count, 4 AS column_count FR
 UNION ALL SELECT 1, 'deduplicated', count(*), 4 FROM (SELECT DISTINCT * FROM typed)
 UNION ALL SELECT 2, 'selected', count(*), 2 FROM (SELECT DISTINCT * FROM typed)""")
 def a1(spark, sf):
-    raw = raw_orders(spark, sf)
-    typed = quality.typed(raw, RAW_TYPES, ["day"])
-    distinct = joins.drop_duplicates(typed)
-    return summary.stage_counts({"loaded": raw, "deduplicated": distinct,
-                                 "selected": project.keep(distinct, ["order_id", "price"])})
+    """Counted by the one job that writes the last stage."""
+    trail = audit.Trail()
+    raw = trail.watch(raw_orders(spark, sf), "loaded")
+    distinct = trail.watch(joins.drop_duplicates(quality.typed(raw, RAW_TYPES, ["day"])), "deduplicated")
+    materialize(trail.watch(project.keep(distinct, ["order_id", "price"]), "selected"))
+    return trail.table(spark).drop("missing")
+
+
+@query("v3_clean_observed", f"""WITH {RAW_SQL}, d AS (SELECT DISTINCT * FROM typed)
+SELECT 0 AS step, 'loaded' AS stage, count(*) AS row_count, 0::BIGINT AS no_price, 0::BIGINT AS no_day, 0::BIGINT AS no_priority FROM typed
+UNION ALL SELECT 1, 'deduplicated', count(*), count(*) FILTER (price IS NULL), count(*) FILTER (day IS NULL), count(*) FILTER (priority IS NULL) FROM d
+UNION ALL SELECT 2, 'complete', count(*), 0, 0, 0 FROM d WHERE order_id IS NOT NULL AND price IS NOT NULL AND day IS NOT NULL AND priority IS NOT NULL""")
+def v3_observed(spark, sf):
+    """Cleaned rows written and audited in one job."""
+    out = quality.clean_to(raw_orders(spark, sf), RAW_TYPES, ["day"], scratch_path(spark, "cleaned"))
+    return out.select("step", "stage", "row_count", *[F.coalesce(F.col("missing")[c], F.lit(0)).alias(f"no_{c}") for c in ("price", "day", "priority")])
+
+
+# Labels in two loads: cheap parts first, then all of them; the second load adds names, and types of both loads are encoded.
+@query("w3_dictionary", """WITH one AS (SELECT DISTINCT p_type || ' ' || p_brand AS v FROM part WHERE p_retailprice < 905),
+two AS (SELECT DISTINCT p_type || ' ' || p_brand AS v FROM part),
+known AS (SELECT v, (row_number() OVER (ORDER BY v) - 1)::INTEGER AS code, 1 AS since FROM one),
+fresh AS (SELECT v, ((SELECT count(*) FROM one) + row_number() OVER (ORDER BY v) - 1)::INTEGER AS code, 2 AS since FROM two WHERE v NOT IN (SELECT v FROM one)),
+latest AS (SELECT * FROM known UNION ALL SELECT * FROM fresh)
+SELECT p_partkey, coalesce(k.code, -1) AS first_code, l.code AS last_code, l.since FROM part
+ LEFT JOIN known k ON k.v = p_type || ' ' || p_brand JOIN latest l ON l.v = p_type || ' ' || p_brand""")
+def w3_dictionary(spark, sf):
+    """Codes of the first version stay in the second; a reader may name either."""
+    path = scratch_path(spark, "dictionary")
+    part = table(spark, sf, "part").select("p_partkey", "p_retailprice", F.concat_ws(" ", "p_type", "p_brand").alias("label"))
+    first = dictionary.update(part.where("p_retailprice < 905"), "label", path)
+    last = dictionary.update(part, "label", path)
+    dictionary.update(part, "label", path)  # nothing new: no version
+    old = dictionary.encode(part, "label", path, first, "first_code", on_unknown="minus_one")
+    return (dictionary.encode(old, "label", path, name="last_code")
+            .join(dictionary.read(spark, path, last).select(F.col("value").alias("label"), "since"), "label")
+            .select("p_partkey", "first_code", "last_code", "since"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelspark.catalog import query, table
@@ -136,3 +138,62 @@ def k6_metadata(spark, sf):
     writers.write_json(meta, path)
     out = spark.read.schema(meta.schema).json(path)
     return out.select("model_type", "num_trees", "max_depth", "label_col", "seed", F.explode("feature_importances").alias("feature", "importance"))
+
+
+# Comma-separated lines with prices, dates and field counts that do not fit, by the content of the order.
+_FAULT_SQL = """CASE WHEN o_orderstatus = 'P' THEN 'o_totalprice' WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'o_orderdate'
+  WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'columns' ELSE 'good' END"""
+
+
+@query("s1_quarantine", f"""SELECT {_FAULT_SQL} AS reason, count(*) AS row_count FROM orders GROUP BY 1""")
+def s1_quarantine(spark, sf):
+    """Rows by the reason for which they were set apart; good and bad together are all lines."""
+    return checked_orders(spark, sf).counts
+
+
+@query("s1_quarantine_good", f"""SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders WHERE {_FAULT_SQL} = 'good'""")
+def s1_quarantine_good(spark, sf):
+    return checked_orders(spark, sf).good.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+def checked_orders(spark, sf):
+    path = scratch_path(spark, "lines")
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
+    low = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F")
+    day = F.when(urgent, "2024-13-45").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    lines = table(spark, sf, "orders").select(F.concat_ws(
+        ",", F.col("o_orderkey").cast("string"), price, day, F.concat(F.lit('"'), "o_orderpriority", F.lit('"')), F.when(low, "more")).alias("value"))
+    lines.write.option("header", False).text(path)
+    return readers.read_csv_checked(spark, path, "o_orderkey long, o_totalprice double, o_orderdate date, o_orderpriority string", header=False)
+
+
+@query("k1_periods", """WITH e AS (SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events), last AS (SELECT max(day) AS d FROM e)
+SELECT event_id, user_id, event_type, value, day FROM e, last WHERE day < d
+UNION ALL SELECT event_id, user_id, event_type, value * 2, day FROM e, last WHERE day = d AND event_type <> 'view'""")
+def k1_periods(spark, sf):
+    """All days are written, then the last one is replaced, twice: the other days stay, and the second rewrite changes nothing."""
+    path = scratch_path(spark, "periods")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", S.format_date("ts").alias("day"))
+    writers.write_periods(events, path, ["day"])
+    last = events.agg(F.max("day")).scalar()
+    again = events.where((F.col("day") == last) & (F.col("event_type") != "view")).withColumn("value", F.col("value") * 2)
+    for _ in range(2):
+        writers.write_periods(again, path, ["day"])
+    return spark.read.schema("event_id long, user_id long, event_type string, value double, day string").parquet(path)
+
+
+@query("k2_bucketed_join", """SELECT c_mktsegment, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
+def k2_bucketed(spark, sf):
+    """Both tables are dealt by customer when they are written; the join moves neither."""
+    return bucketed_join(spark, sf).groupBy("c_mktsegment", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), 2).alias("total"))
+
+
+def bucketed_join(spark, sf):
+    mark = uuid.uuid4().hex[:12]
+    orders = writers.write_bucketed(table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey"), f"orders_{mark}", ["c_custkey"], 8,
+                                    scratch_path(spark, "orders_bucketed"))
+    customer = writers.write_bucketed(table(spark, sf, "customer"), f"customer_{mark}", ["c_custkey"], 8, scratch_path(spark, "customer_bucketed"))
+    return orders.join(customer.hint("merge"), "c_custkey")

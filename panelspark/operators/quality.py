@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import fixed_values as fv
 from panelspark.functions.scalars import parse_date
+from panelspark.operators.audit import Trail
 from panelspark.operators.project import cast
 from panelspark.operators.summary import _is_missing
 
@@ -49,6 +50,16 @@ def clean(df: DataFrame, types: dict[str, str], dates: list[str]) -> DataFrame:
     return typed(df, types, dates).dropDuplicates().dropna()
 
 
+def clean_to(df: DataFrame, types: dict[str, str], dates: list[str], path: str) -> DataFrame:
+    """Write :func:`clean` to ``path`` as Parquet and return its audit, counted by that same job: step, stage, row_count,
+    column_count and, for the de-duplicated rows, missing values by column."""
+    trail = Trail()
+    rows = trail.watch(typed(df, types, dates), "loaded")
+    rows = trail.watch(rows.dropDuplicates(), "deduplicated", rows.columns)
+    trail.watch(rows.dropna(), "complete").write.parquet(path)
+    return trail.table(df.sparkSession)
+
+
 def clean_audit(df: DataFrame, types: dict[str, str], dates: list[str]) -> DataFrame:
     """Row counts of every cleaning step from a single aggregate: step, stage, row_count.
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelspark.runtime import materialize
+
 WEATHER_PAYLOAD = ("daily struct<time: array<string>, temperature_2m_max: array<double>, "
                    "relative_humidity_2m_max: array<double>, weathercode: array<int>>")
 
@@ -23,6 +27,43 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return reader.option("inferSchema", infer).csv(path)
 
 
+class Checked(NamedTuple):
+    """``good``: rows that fit the schema; ``bad``: line and reason of the others; ``counts``: rows per reason, ``good`` among them."""
+
+    good: DataFrame
+    bad: DataFrame
+    counts: DataFrame
+
+
+def read_csv_checked(spark: SparkSession, path: str | list[str], schema: T.StructType | str, bad_path: str | None = None,
+                     header: bool = True) -> Checked:
+    """CSV, one record a line, headered unless ``header`` is off; lines that do not fit ``schema`` go to a table of their own, none is lost or nulled.
+
+    The reason is ``columns`` where the number of fields differs, else the first column whose text has no value of its type.
+    The files are read once, and the split rows written to the shared folder; ``bad_path`` also receives the bad lines as
+    JSON. An empty field is null and no fault.
+    """
+    kind = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    line = "_line"
+    whole = T.StructType([*kind.fields, T.StructField(line, T.StringType())])
+    read = materialize(spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line)
+                       .schema(whole).csv(path), "checked")
+    texts = F.from_csv(F.col(line), ", ".join(f"`{f.name}` string" for f in kind.fields))
+    fields = F.length(F.regexp_replace(line, '"([^"]|"")*"|[^,]', "")) + 1
+    reason = F.when(fields != len(kind.fields), F.lit("columns"))
+    for f in kind.fields:
+        text = texts[f.name]
+        reason = reason.when(text.isNotNull() & text.try_cast(f.dataType).isNull(), F.lit(f.name))
+    bad = read.where(F.col(line).isNotNull()).select(F.col(line).alias("line"), reason.otherwise(F.lit("other")).alias("reason"))
+    bad = materialize(bad, "bad_lines")
+    if bad_path is not None:
+        bad.write.json(bad_path)
+    good = read.where(F.col(line).isNull()).drop(line)
+    counts = good.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("good").alias("reason"), "row_count").unionByName(
+        bad.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")))
+    return Checked(good, bad, counts)
+
+
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 

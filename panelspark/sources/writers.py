@@ -13,6 +13,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def write_periods(df: DataFrame, path: str, by: list[str]) -> None:
+    """Parquet with one folder per period; only the periods that ``df`` holds are replaced, so a rerun changes nothing.
+
+    Rows of a period are brought together first, a hot one in several parts, so that files stay few.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """A table dealt and sorted by ``keys`` once, so that later joins and groupings on them need no shuffle.
+
+    Tables meant to meet must share keys and ``buckets``; choose it so that a bucket fits a task. An existing table is an error.
+    """
+    (df.repartition(buckets, *keys).write.mode("errorifexists").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON record per line; null fields are kept."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
