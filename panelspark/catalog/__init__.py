@@ -30,5 +30,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """Import every family of queries and return both registries."""
-    from panelspark.catalog import boosted, chain, columns, forecasting, learning, relations, statistics, storage  # noqa: F401
+    from panelspark.catalog import boosted, chain, columns, forecasting, learning, relations, statistics, storage, streams  # noqa: F401
     return QUERIES, ORACLES
