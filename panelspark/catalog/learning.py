@@ -9,7 +9,7 @@ from panelspark.catalog import query, table
 from panelspark.catalog.columns import sql_normal
 from panelspark.functions import scalars as S
 from panelspark.functions.hashing import normal, row_hash
-from panelspark.operators import correlation, joins, sampling
+from panelspark.operators import correlation, joins, leastsquares, sampling
 from panelspark.plans import evaluation, models
 
 ML_FEATURES = ["price_k", "balance_k", "month", "day_of_week", "priority_enc", "segment_enc"]
@@ -179,12 +179,53 @@ def ml12(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("coefficient", "abs_coef", "importance")})
 
 
-@query("ml8_linear_regression")
+def elimination_sql(rows: str, by: str) -> str:
+    """Common table expressions that solve least squares of ``target`` on all features of ``rows`` by Gauss-Jordan elimination,
+    per value of ``by``: ``fit`` with ``b0`` (intercept), ``b1``..."""
+    k = len(ML_FEATURES)
+    names = [*ML_FEATURES, "target"]
+    out = [f"""e0 AS MATERIALIZED (SELECT {by} AS g, count(*) AS n, {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(names))},
+  {', '.join(f'covar_pop({a}, {b}) AS a{i}_{j}' for i, a in enumerate(ML_FEATURES) for j, b in enumerate(names))} FROM {rows} GROUP BY {by})"""]
+    for p in range(k):
+        cells = ", ".join(f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} AS a{i}_{j}" if i != p else f"a{i}_{j}" for i in range(k) for j in range(k + 1))
+        out.append(f"e{p + 1} AS MATERIALIZED (SELECT g, n, {', '.join(f'm{i}' for i in range(k + 1))}, {cells} FROM e{p})")
+    betas = [f"a{i}_{k} / a{i}_{i}" for i in range(k)]
+    out.append(f"fit AS MATERIALIZED (SELECT g, n, m{k} - ({' + '.join(f'{b} * m{i}' for i, b in enumerate(betas))}) AS b0, "
+               + ", ".join(f"{b} AS b{i + 1}" for i, b in enumerate(betas)) + f" FROM e{k})")
+    return ", ".join(out)
+
+
+_PREDICTED = "b0 + " + " + ".join(f"b{i + 1} * {f}" for i, f in enumerate(ML_FEATURES))
+
+
+@query("ml8_linear_regression", f"""WITH {ML_SPLIT_SQL}, train AS (SELECT * FROM marked WHERE NOT is_test), {elimination_sql('train', '1')},
+scored AS (SELECT target AS actual, {_PREDICTED} AS predicted FROM marked, fit WHERE is_test), m AS (SELECT {METRICS_SQL} FROM scored)
+SELECT round(rmse, 4) AS rmse, round(mae, 4) AS mae, round(r2, 6) AS r2, round(mape, 4) AS mape, n FROM m""")
 def ml8_all(spark, sf):
     """All features, metrics on held-out rows."""
     train, test = halves(spark, sf)
     model = models.fit(models.linear(ML_FEATURES, "target"), train)
-    return evaluation.metrics(models.score(model, test, "target"))
+    out = evaluation.metrics(models.score(model, test, "target"))
+    return out.select(F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"),
+                      F.round("mape", 4).alias("mape"), "n")
+
+
+@query("ml8_group_least_squares", f"""WITH {ML_SQL}, {elimination_sql('ml', 'o_orderstatus')}
+SELECT g AS o_orderstatus, n, {len(ML_FEATURES)} AS rank, feature, round(value, 4) AS coefficient FROM fit, LATERAL (VALUES ('intercept', b0),
+  {', '.join(f"('{f}', b{i + 1})" for i, f in enumerate(ML_FEATURES))}) t(feature, value)""")
+def ml8_groups(spark, sf):
+    """Six features per group; sums are kept by group and weekday, then added up and solved."""
+    kept = leastsquares.gram(ml_orders(spark, sf).withColumn("part", F.col("day_of_week")), ["o_orderstatus", "part"], ML_FEATURES, "target")
+    out = leastsquares.solve(leastsquares.merge(kept, ["o_orderstatus"]), ["o_orderstatus"], ML_FEATURES)
+    return out.withColumn("coefficient", F.round("coefficient", 4))
+
+
+@query("ml9_score_groups", f"""WITH {ML_SQL}, {elimination_sql('ml', 'o_orderstatus')}
+SELECT o_orderkey, round({_PREDICTED}, 4) AS predicted FROM ml JOIN fit ON g = o_orderstatus""")
+def ml9_groups(spark, sf):
+    d = ml_orders(spark, sf)
+    solved = leastsquares.solve(leastsquares.gram(d, ["o_orderstatus"], ML_FEATURES, "target"), ["o_orderstatus"], ML_FEATURES)
+    return leastsquares.predict(d, solved, ["o_orderstatus"], ML_FEATURES).select("o_orderkey", F.round("predicted", 4).alias("predicted"))
 
 
 @query("ml9_score", f"""WITH {ML_SQL}, {OLS_SQL},

@@ -8,7 +8,9 @@ from panelspark.catalog import query, table
 from panelspark.catalog.columns import SQL_SEASON
 from panelspark.catalog.learning import LINE_FIT_SQL, ML_SPLIT_SQL, fitted_line_rows
 from panelspark.functions import scalars as S
-from panelspark.operators import correlation, histogram, joins, quantiles, summary
+from panelspark.operators import correlation, histogram, joins, quantiles, sketches, summary
+from panelspark.runtime import scratch_path
+from panelspark.sources import writers
 from panelspark.plans import eda
 
 
@@ -287,3 +289,23 @@ def a21(spark, sf):
     counts = table(spark, sf, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
     out = summary.share(counts, "n")
     return out.select("p_type", "n", F.round("share", 6).alias("share"), F.round(F.col("share") * 100, 3).alias("pct"))
+
+
+SKETCH_SHARES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+
+
+@query("a4_sketch_quantiles", f"""SELECT event_type, (SELECT count(*) FROM events e WHERE e.event_type = t.event_type AND e.value IS NOT NULL) AS n,
+  share, true AS within FROM (SELECT DISTINCT event_type FROM events WHERE value IS NOT NULL) t, (SELECT unnest({SKETCH_SHARES!r}::DOUBLE[]) AS share)""")
+def a4_sketches(spark, sf):
+    """Sketches of every type and day are stored, merged over all days, and their answers ranked among the rows: each rank
+    must be within the error of a sketch."""
+    path = scratch_path(spark, "sketches")
+    events = table(spark, sf, "events").select("event_type", "value", S.format_date("ts").alias("day"))
+    writers.write_periods(sketches.sketch(events, ["event_type", "day"], "value"), path, ["day"])
+    daily = spark.read.parquet(path)
+    told = sketches.quantiles(sketches.merge(daily, ["event_type"]), ["event_type"], SKETCH_SHARES)
+    ranked = events.join(F.broadcast(told), "event_type").groupBy("event_type", "n", "share").agg(
+        F.avg((F.col("value") < F.col("quantile")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("quantile")).cast("double")).alias("upto"))
+    error = sketches.rank_error()
+    return ranked.select("event_type", "n", "share", ((F.col("below") <= F.col("share") + error) & (F.col("upto") >= F.col("share") - error)).alias("within"))
