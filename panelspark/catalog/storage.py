@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelspark.catalog import query, table
 from panelspark.catalog.learning import (IMPORTANCE_SQL, LINE_FIT_SQL, ML_FEATURES, ML_SPLIT_SQL, evaluated_line,
-                                         fitted_line_rows, ml_orders, small_forest, two_feature_model)
+                                         fitted_line_rows, ml_orders, forest, two_feature_model)
 from panelspark.functions import scalars as S
 from panelspark.plans import models
 from panelspark.runtime import scratch_path
@@ -133,7 +133,7 @@ def k6(spark, sf):
 
 @query("k6_model_metadata")
 def k6_metadata(spark, sf):
-    meta = models.metadata(small_forest(spark, sf), ML_FEATURES, "target", 42, spark)
+    meta = models.metadata(forest(spark, sf), ML_FEATURES, "target", 42, spark)
     path = scratch_path(spark, "metadata")
     writers.write_json(meta, path)
     out = spark.read.schema(meta.schema).json(path)

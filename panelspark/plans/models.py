@@ -63,14 +63,19 @@ def linear(features: list[str] = fv.FEATURES, label: str = fv.TARGET, fit_interc
                          fitIntercept=fit_intercept, standardization=False)])
 
 
-def fit(pipeline: Pipeline, train: DataFrame, partitions: int = 16) -> PipelineModel:
+# Training rows of a partition; a small table has ``LEAST_PARTITIONS``.
+ROWS_PER_PARTITION, LEAST_PARTITIONS = 500_000, 16
+
+
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit on one cached copy of the training rows, as every stage passes over them again.
 
     Tree models draw their samples per partition, in row order. So rows are dealt to ``partitions`` by the
     values of their plain columns and sorted within: the model then depends on the rows, the seed and that
-    number, not on cores or files. The caller's own cache stays as it is. Boosting cuts its lineage in the
-    shared folder.
+    number, not on cores or files. By default the number follows the count of rows. The caller's own cache stays as
+    it is. Boosting cuts its lineage in the shared folder.
     """
+    partitions = partitions or max(LEAST_PARTITIONS, -(-train.count() // ROWS_PER_PARTITION))
     spark = train.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
