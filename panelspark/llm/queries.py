@@ -14,6 +14,7 @@ from panelspark.llm import (
     language,
     mixing,
     near_dedup,
+    oracles,
     pii,
     quality_rules,
     resample,
@@ -111,4 +112,4 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_classifier, op2_minhash_near_dedup, op3_source_mixing, op4_chat_formatting, op5_suffix_array_dedup,
     op6_language_id, op7_benchmark_decontamination, op8_quality_rules, op9_substring_dedup, op10_pii,
     op11_toxicity, op12_conversation_repair, op13_importance_resampling, pipeline)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
