@@ -6,7 +6,7 @@ judged by the nearest: far away in characters or words, it goes. Short documents
 distribution, so each distance has a minimum length below which it does not judge.
 
 Scale: references come from one pass with map-side counts (word hashes, not words) and a top-k in two
-steps; they hold ``common`` words per language and are sent to the tasks with the code. The second
+steps; they hold ``common`` words per language, for any number of languages, and are sent to the tasks with the code. The second
 pass handles each text by itself.
 """
 
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm import tables, tokens
+from panelspark.llm import tokens
+from panelspark.runtime import materialize
 
 CLASSES = ("lower", "upper", "digit", "space", "point", "symbol", "other_ascii", "not_ascii")
 _SYMBOLS = b"#*$%&|<>"
@@ -30,8 +31,6 @@ _CLASS[list(b".,;:!?'\"()-")] = 4
 _CLASS[list(_SYMBOLS)] = 5
 _CLASS[0xC0:] = 7
 _CLASS[0x80:0xC0] = 8  # continuation bytes belong to no class of their own
-# Languages beyond this are too many for references that travel with the code.
-MOST_LANGUAGES = 1000
 
 
 def _class_counts(texts: list[bytes]) -> np.ndarray:
@@ -72,8 +71,9 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     """Per language the counts of all character classes (kind 0), of its ``common`` most frequent words
     (kind 1, by hash, lower case) and of all words (kind 2). Rows without text or language do not count."""
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).dropna()
-    counts = (rows.mapInArrow(_count, "lang string, kind int, code long, n long")
-              .groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")))
+    # written, as three branches read it
+    counts = materialize(rows.mapInArrow(_count, "lang string, kind int, code long, n long")
+                         .groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")), "counts")
     words = counts.where("kind = 1")
     best = [F.col("n").desc(), F.col("code")]
     near = words.withColumn("r", F.row_number().over(
@@ -94,31 +94,53 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class _References:
-    """Distributions of all languages over one set of words and the character classes."""
+    """Distributions of all languages: over character classes, and over each language's own common words and the rest.
+
+    Words that are common in other languages only have share 0, so a language is held by its own words alone; some 1.2 KB
+    each, however many there are.
+    """
 
     def __init__(self, rows: list[tuple]):
         self.langs = sorted({r[0] for r in rows})
-        if len(self.langs) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
         place = {x: i for i, x in enumerate(self.langs)}
         self.words = np.unique(np.array([r[2] for r in rows if r[1] == 1], dtype=np.int64).view(np.uint64))
-        chars, words = np.zeros((len(place), 8)), np.zeros((len(place), len(self.words) + 1))
-        total = np.zeros(len(place))
+        chars, total = np.zeros((len(place), 8)), np.zeros(len(place))
+        own: list[dict[int, int]] = [{} for _ in place]
         for lang, kind, code, n in rows:
             if kind == 0:
                 chars[place[lang], code] = n
             elif kind == 1:
-                words[place[lang], np.searchsorted(self.words, np.int64(code).view(np.uint64))] = n
+                own[place[lang]][int(np.searchsorted(self.words, np.int64(code).view(np.uint64)))] = n
             else:
                 total[place[lang]] = n
-        words[:, -1] = total - words.sum(axis=1)
         self.chars = chars / np.maximum(chars.sum(axis=1, keepdims=True), 1)
-        self.share = words / np.maximum(total[:, None], 1)
+        self.own = [np.array(list(x), dtype=np.int64) for x in own]
+        self.share = [np.array([*x.values(), t - sum(x.values())]) / max(t, 1) for x, t in zip(own, total, strict=True)]
 
-    def nearest(self, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
-        """Distance to the nearest language; 1 without any."""
+    def nearest_chars(self, counts: np.ndarray) -> np.ndarray:
+        """Distance to the nearest language by character classes; 1 without any."""
         p = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        return np.min([divergence(p, q[None, :]) for q in shares] + [np.ones(len(p))], axis=0)
+        return np.min([divergence(p, q[None, :]) for q in self.chars] + [np.ones(len(p))], axis=0)
+
+    def nearest_words(self, hashes: np.ndarray, owner: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        """Distance to the nearest language by words, given the word hashes of texts; 1 without any language."""
+        place = np.searchsorted(self.words, hashes)
+        known = place < len(self.words)
+        known[known] = self.words[place[known]] == hashes[known]
+        seen, column = np.unique(place[known], return_inverse=True)
+        counts = np.bincount(owner[known] * (len(seen) + 1) + column, minlength=len(n_words) * (len(seen) + 1)).reshape(len(n_words), -1)
+        p = counts / np.maximum(n_words, 1)[:, None]
+        common = p.sum(axis=1)
+        best = np.ones(len(n_words))
+        for own, share in zip(self.own, self.share, strict=True):
+            at = np.searchsorted(seen, own)
+            held = at < len(seen)
+            held[held] = seen[at[held]] == own[held]
+            mine = p[:, np.where(held, at, len(seen))]  # the last column is empty
+            far = common - mine.sum(axis=1)  # words of other languages
+            both = np.column_stack([mine, np.where(n_words > 0, 1 - common, 0), far])
+            best = np.minimum(best, divergence(np.maximum(both, 0), np.append(share, 0)[None, :]))
+        return best
 
 
 def _repeated_words(hashes: np.ndarray, bounds: np.ndarray, width: int = 5) -> np.ndarray:
@@ -150,14 +172,8 @@ def _judge(ref: _References, limits: tuple):
                 repeated = _repeated_words(hashes, bounds)
                 lines = np.array([_repeated_lines(t) for t in texts], dtype=np.int64)
                 folded, _ = tokens.words(texts, lower=True)
-                place = np.searchsorted(ref.words, folded)
-                width = len(ref.words)
-                known = place < width
-                known[known] = ref.words[place[known]] == folded[known]
-                owner = np.repeat(np.arange(len(texts)), n_words)
-                counts = np.bincount(owner * (width + 1) + np.where(known, place, width),
-                                     minlength=len(texts) * (width + 1)).reshape(len(texts), width + 1)
-                words, chars = ref.nearest(counts, ref.share), ref.nearest(classes, ref.chars)
+                words = ref.nearest_words(folded, np.repeat(np.arange(len(texts)), n_words), n_words)
+                chars = ref.nearest_chars(classes)
                 failed = (n_words < 10) | (100 * repeated > 20 * n_words)
                 total = classes.sum(axis=1)
                 limit = word_limit + word_slack / np.sqrt(np.maximum(n_words, 1))
@@ -189,7 +205,7 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     only; without any reference both distances are 1. Null and empty texts have no words and fail.
     Repeated rows are judged alike. An empty table gives an empty result; other columns are ignored.
     """
-    found = [tuple(r) for r in references(docs, text, lang, common).limit(MOST_LANGUAGES * (common + 9)).collect()]
+    found = [tuple(r) for r in references(docs, text, lang, common).collect()]  # ``common + 9`` rows a language
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(_judge(_References(found), (least_words, least_chars, word_limit, word_slack,
                                                       char_limit)),
