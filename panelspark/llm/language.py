@@ -33,19 +33,17 @@ def _folded(data: bytes) -> bytes:
 
 def sample_texts(docs: DataFrame, trained: Column, doc_id: str, text: str, lang: str,
                  sample_rows: int) -> tuple[DataFrame, list[str]]:
-    """About ``sample_rows`` training rows, equally many for each language, by the hash of the identifier.
+    """About ``sample_rows`` training rows, equally many for each language but one at least, by the hash of the identifier.
 
     Beside them the languages, the most frequent first.
     """
     rows = docs.where(trained & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(doc_id), F.lit("sample")), F.lit(1 << 30)).alias("order"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
-    each = sample_rows // max(1, len(counts))
-    if counts and not each:
-        raise ValueError("more languages than sample rows")
-    cut = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(int((1 << 30) * min(1.0, each / r["n"]))))
-                       for r in counts], F.lit(0)) if counts else F.lit(0)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("order").alias("low")).collect()  # one row a language
+    each = max(1, sample_rows // max(1, len(counts)))
+    cuts = [F.lit(x) for r in counts for x in (r["lang"], max(int((1 << 30) * min(1.0, each / r["n"])), r["low"] + 1))]
+    cut = F.coalesce(F.try_element_at(F.create_map(*cuts), F.col("lang")), F.lit(0)) if cuts else F.lit(0)
     return rows.where(F.col("order") < cut), [r["lang"] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))]
 
 
@@ -101,7 +99,8 @@ def identify(docs: DataFrame, trained: Column | None = None, doc_id: str = "doc_
     """Language of every row of ``docs``, learned from those rows where ``trained`` holds.
 
     Returns ``doc_id``, ``lang_pred`` (a learned language; ``und`` for null texts, texts without a letter,
-    and when nothing was learned), ``score`` (0 to 1; one half at ``margin``) and ``rejected`` (the runner-up is
+    and when nothing was learned; any number of languages is learned,
+    from one row each where there are more than ``sample_rows``), ``score`` (0 to 1; one half at ``margin``) and ``rejected`` (the runner-up is
     within ``margin``, as a share of the size). Ties go to the more frequent language. Only ``text`` is read for a
     prediction. Repeated rows are answered alike; a null ``doc_id`` is kept. An empty table gives an empty
     result; other columns are ignored.

@@ -361,6 +361,57 @@ def test_quality_references_count_every_word(docs, rows):
 KEY = hashlib.blake2b(b"k").digest()[:32]
 
 
+def test_many_languages(spark):
+    """More languages than sample rows, and than any fixed number of references."""
+    r = random.Random(8)
+    def text(k):
+        return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz"[k % 13:k % 13 + 6]) for _ in range(5)) + str(k) * 3 for _ in range(60))
+    rows = [(k, text(k), f"lang{k}", None, None, "k", "b", "r") for k in range(300)]
+    frame = spark.createDataFrame(rows, DOCS)
+    said = {x.doc_id: x.lang_pred for x in language.identify(frame, sample_rows=100).collect()}
+    assert sum(said[k] == f"lang{k}" for k in range(300)) > 270
+    many = spark.createDataFrame([(k, f"word{k} of {'x ' * 8}" * (30 if k < 3 else 1), f"lang{k}", None, None, "k", "b", "r") for k in range(2100)], DOCS)
+    got = quality_rules.quality(many).collect()
+    assert len(got) == 2100 and all(x.word_distance < 1e-6 for x in got)
+
+
+def test_quality_verdict(spark):
+    """Distances to the nearest reference, word by word, and the verdict that follows."""
+    r = random.Random(4)
+    common = {"en": ["the", "of", "and", "to", "in"], "de": ["der", "und", "die", "zu", "das"]}
+    rows = []
+    for i in range(60):
+        lang = ("en", "de")[i % 2]
+        n = (9, 40, 300)[i % 3]
+        words = [r.choice(common[lang]) if r.random() < 0.5 else f"w{r.randint(0, 400)}" for _ in range(n)]
+        if i % 10 == 7:
+            words = [f"Z{k}%" for k in range(n)]
+        rows.append((i, " ".join(words), lang, None, None, "k", "b", "r"))
+    got = {x.doc_id: x for x in quality_rules.quality(spark.createDataFrame(rows, DOCS), common=5).collect()}
+    def folded(t):
+        return re.sub("[A-Z]", lambda m: m[0].lower(), t).split()
+    def classes(t):
+        return Counter("lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "space" if c.isspace() else "symbol" for c in t)
+    def distance(p, q):
+        keys = {*p, *q}
+        m = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in keys}
+        return max(0.0, sum(x.get(k, 0) * np.log2(x[k] / m[k]) for x in (p, q) for k in keys if x.get(k)) / 2) ** 0.5
+    def share(c):
+        return {k: v / sum(c.values()) for k, v in c.items()}
+    words = {lang: Counter(w for _, t, x, *_ in rows if x == lang for w in folded(t)) for lang in common}
+    chars = {lang: sum((classes(t) for _, t, x, *_ in rows if x == lang), Counter()) for lang in common}
+    top = {lang: {w for w, _ in c.most_common(5)} for lang, c in words.items()}
+    union = set().union(*top.values())
+    for i, t, *_ in rows:
+        w = Counter(x if x in union else "" for x in folded(t))
+        word = min(distance(share(w), share(Counter({**{x: words[lang][x] for x in top[lang]},
+                                                     "": sum(words[lang].values()) - sum(words[lang][x] for x in top[lang])}))) for lang in common)
+        char = min(distance(share(classes(t)), share(chars[lang])) for lang in common)
+        assert got[i].word_distance == pytest.approx(word, abs=1e-9) and got[i].char_distance == pytest.approx(char, abs=1e-9)
+        far = (len(folded(t)) >= 50 and word > 0.3 + 1.3 / len(folded(t)) ** 0.5) or (len(t) >= 300 and char > 0.28)
+        assert got[i].kept == (not got[i].base_failed and not far)
+
+
 @pytest.mark.parametrize("value,kind", [
     ("4111111111111111", "card"), ("4111 1111 1111 1111", "card"), ("1234567890123456", "account"), ("+1 (017) 555-7713", "phone"),
     ("192.168.7.23", "ip"), ("123-45-6789", "ssn"), ("2024-02-29", "date"), ("29.02.2024", "date"), ("12/31/1999", "date"),
