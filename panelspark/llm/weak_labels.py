@@ -287,7 +287,7 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
-        toxic: str = "toxic", sample_rows: int = 6000, seed: int = 42) -> QualityModel:
+        toxic: str = "toxic", sample_rows: int = 8000, seed: int = 42) -> QualityModel:
     """Fit label models on the votes of all documents, and scorers on a sample of ``sample_rows`` rows.
 
     Three quarters of the sample are labelled rows, where there are so many; the choice follows a hash of the
@@ -304,7 +304,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     picked = labelled.select("key").unionByName(rows.select("key").orderBy(order, "key").limit(sample_rows // 4)).distinct()
     picked = sorted(r["key"] for r in picked.collect())  # at most ``sample_rows`` identifiers
     chosen = docs.sparkSession.createDataFrame([(k,) for k in picked], "key long")
-    sample = (rows.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
+    # of several texts under one identifier the one with the smallest digest, so reruns agree
+    sample = (rows.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min_by("text", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("text"))
               .mapInArrow(_sample_features, "key long, n_words long, style array<double>, features binary")
               .join(labelled, "key", "left")
               .select("key", "n_words", "style", "features", *[F.coalesce(c, F.lit(NONE)).alias(c) for c in ("bad_quality", "toxic")])
