@@ -82,4 +82,42 @@ def test_rows_that_share_an_identifier_are_told_apart(spark, tmp_path):
 
 def test_queries_are_registered():
     names = {re.match(r"(op\d+_|pipeline)", n)[0] for n in queries.QUERIES}
-    assert names == {"pipeline", *(f"op{n}_" for n in range(1, 11))}
+    assert names == {"pipeline", *(f"op{n}_" for n in range(1, 14))}
+
+
+def written(spark, path, rows, schema=COLUMNS, bench=(), labels=()):
+    spark.createDataFrame(rows, schema).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(list(bench), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = written(spark, tmp_path, [])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.collect() == [] and (name == "mix" or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_clashing_columns_come_back_unchanged(spark, tmp_path):
+    extra = ("row_digest", "pii_kinds", "kept", "junk_score", "abuse_score", "key", "w", "comp", "node", "given_0", "row")
+    rows = [(i, prose(i, 60) + " mail jo.07@mail1.example.com", "en", "s0", 1, *(f"{c}{i}" for c in extra)) for i in range(30)]
+    docs = written(spark, tmp_path, rows, ", ".join([COLUMNS, *(f"{c} string" for c in extra)]), labels=[(i, 1, 0) for i in range(20)])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        got = out.collect()
+        assert out.columns == docs.columns and len(got) == 30, name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in extra), name
+    assert len(corpus_pipeline.mix(spark, docs, str(tmp_path)).collect()) == 30
+
+
+def test_nulls_ties_and_no_benchmark(spark, tmp_path):
+    rows = [(None, None, None, None, None), (1, "", None, None, 0), (2, prose(1, 50), "en", None, 1), (2, prose(1, 50), "en", None, 1), (3, " \n", "en", "s", 2)]
+    docs = written(spark, tmp_path, rows)
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "None"]
+    masked = corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()
+    assert len(masked) == 5 and [r.text for r in masked if r.doc_id is None] == [None]
