@@ -4,7 +4,9 @@ A value is recognised by its shape, validated (check digits, ranges, calendar),
 its format's domain, moved by a keyed Feistel permutation of that domain (cycle walking keeps it
 inside), and written back in the same format. Equal values get equal pseudonyms in every document,
 different values different ones, and no value is its own pseudonym. Whoever holds the key can invert
-the permutation.
+the permutation: values are found once, on the given text, first addresses, then keys in the pieces between
+them, then numbers in the pieces that are left. A pseudonym has the length and the kinds of characters of its
+value, so the same values are found again in the text with pseudonyms. Digits are ASCII digits.
 
 Scale: one pass per text inside Arrow-fed tasks; no shuffle, no state between rows.
 """
@@ -14,16 +16,19 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import warnings
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import tokens
 
 ROUNDS = 8
+KEY_SETTING = "spark.panelspark.pii.secret"
+DEMONSTRATION_KEY = "demonstration: not secret"
 _DIGIT, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HEX, _HEX_UPPER = "0123456789abcdef", "0123456789ABCDEF"
 
@@ -90,7 +95,7 @@ def _luhn(digits: str) -> int:
 
 def _number(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
     """Card numbers keep a valid check digit; other long numbers count as account numbers."""
-    digits = re.sub(r"\D", "", text)
+    digits = "".join(c for c in text if c in _DIGIT)
     if not 13 <= len(digits) <= 19:
         return None
     if _luhn(digits) % 10:
@@ -146,7 +151,8 @@ _FIRST, _LAST = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 def _date(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
     """A day between 1900 and 2099; the same day moves alike in all notations.
 
-    With slashes a date reads month first if it can; those that cannot stay among themselves.
+    With slashes a date reads month first if it can; those that cannot stay among themselves. So do days
+    and months written with one digit.
     """
     sign = re.search(r"[-./]", text)[0]
     parts = text.split(sign)
@@ -164,10 +170,11 @@ def _date(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
     if not _FIRST <= day <= _LAST:
         return None
     day_first = sign == "/" and order == (2, 1, 0)
+    short_month, short_day = len(parts[order[1]]) == 1, len(parts[order[2]]) == 1
     while True:
         day = _FIRST + dt.timedelta(pseudonym((day - _FIRST).days, (_LAST - _FIRST).days + 1, key, "date", back))
-        if not day_first or day.day > 12:  # else it would read month first
-            break
+        if (not day_first or day.day > 12) and (not short_month or day.month < 10) and (not short_day or day.day < 10):
+            break  # else it would read month first, or be longer
     new = [""] * 3
     for i, value in zip(order, (day.year, day.month, day.day), strict=True):
         new[i] = f"{value:04d}" if i == order[0] else f"{value:02d}" if len(parts[i]) == 2 else str(value)
@@ -175,7 +182,7 @@ def _date(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
 
 
 def _phone(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
-    head = re.match(r"\+\d{1,3}[ .-]?", text)
+    head = re.match(r"\+[0-9]{1,3}[ .-]?", text)
     at = head.end() if head else 0
     return "phone", text[:at] + _digits(text[at:], key, "phone", back)
 
@@ -195,14 +202,27 @@ def _email(text: str, key: bytes, back: bool) -> tuple[str, str]:
     return "email", _characters(text[:at], alphabets, key, "email" + shape, back) + text[at:]
 
 
+def _letters(text: str) -> str | None:
+    """The set that a key is written in, or None where it lacks digits or letters."""
+    if not re.search(r"[0-9]", text) or not re.search(r"[A-Za-z]", text):
+        return None
+    return next((name for name, letters in (("hex", _HEX), ("HEX", _HEX_UPPER)) if all(c in letters for c in text)), "key")
+
+
 def _secret(text: str, key: bytes, back: bool) -> tuple[str, str] | None:
-    if not re.search(r"\d", text) or not re.search(r"[A-Za-z]", text):
+    """A key stays in its set: hexadecimal, or letter for letter and digit for digit."""
+    name = _letters(text)
+    if name is None:
         return None
-    for name, letters in (("hex", _HEX), ("HEX", _HEX_UPPER)):
-        if all(c in letters for c in text):
-            return "secret", _characters(text, [letters] * len(text), key, f"{name}{len(text)}", back)
-    alphabets = [_alphabet(c) for c in text]
-    return "secret", _characters(text, alphabets, key, "key" + "".join("-" if a is None else a[0] for a in alphabets), back)
+    if name == "key":
+        alphabets = [_alphabet(c) for c in text]
+        shape = name + "".join("-" if a is None else a[0] for a in alphabets)
+    else:
+        alphabets, shape = [_HEX if name == "hex" else _HEX_UPPER] * len(text), f"{name}{len(text)}"
+    while True:
+        text = _characters(text, alphabets, key, shape, back)
+        if _letters(text) == name:
+            return "secret", text
 
 
 # Every alternative begins with a digit, a plus sign or a bracket, so that the search skips prose quickly.
@@ -212,7 +232,7 @@ _NUMBERS = re.compile(r"""(?=[0-9+(])(?:
   | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d))
   | (?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))
   | (?P<number>(?<!\d)\d(?:[ -]?\d){12,18}(?!\d))
-)""", re.VERBOSE)
+)""", re.VERBOSE | re.ASCII)
 _EMAILS = re.compile(r"[^\W_][\w.%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
 _SECRETS = re.compile(r"(?<=[=:])\s*[\"']?([0-9A-Za-z_-]{20,})")
 _KINDS: dict[str, Callable] = {"ip": _address, "date": _date, "ssn": _social, "phone": _phone, "number": _number,
@@ -224,32 +244,62 @@ def _replaced(kind: str, text: str, key: bytes, back: bool) -> tuple[str, str] |
     return _KINDS[kind](text, key, back)
 
 
+def _spans(text: str, key: bytes, back: bool) -> list[tuple[int, int, str, str]]:
+    """Values of a text with their pseudonyms: begin, end, kind, new text; in order, none overlaps another.
+
+    Each pattern sees a piece between the values found before as a text of its own.
+    """
+    spans: list[tuple[int, int, str, str]] = []
+    pieces = [(0, text)]
+    for pattern, named, signs in ((_EMAILS, "email", "@"), (_SECRETS, "secret", "=:"), (_NUMBERS, None, "")):
+        if signs and not any(c in text for c in signs):
+            continue
+        left = []
+        for start, piece in pieces:
+            at = 0
+            for m in pattern.finditer(piece):
+                group = 1 if named == "secret" else 0
+                new = _replaced(named or m.lastgroup, m[group], key, back)
+                if new is not None:
+                    spans.append((start + m.start(group), start + m.end(group), *new))
+                    left.append((start + at, piece[at:m.start(group)]))
+                    at = m.end(group)
+            left.append((start + at, piece[at:]))
+        pieces = left
+    return sorted(spans)
+
+
 def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
-    """The text with pseudonyms, and the kind of each value that was replaced; ``back`` undoes it."""
-    kinds: list[str] = []
+    """The text with pseudonyms, and the kind of each value that was replaced, in order; ``back`` undoes it."""
+    out, at, spans = [], 0, _spans(text, key, back)
+    for start, end, _, new in spans:
+        out += [text[at:start], new]
+        at = end
+    return "".join([*out, text[at:]]), [kind for _, _, kind, _ in spans]
 
-    def put(m: re.Match, kind: str, group: int = 0) -> str:
-        new = _replaced(kind, m[group], key, back)
-        if new is None:
-            return m[0]
-        kinds.append(new[0])
-        return m[0][:m.start(group) - m.start()] + new[1] + m[0][m.end(group) - m.start():]
 
-    if "@" in text:
-        text = _EMAILS.sub(lambda m: put(m, "email"), text)
-    if "=" in text or ":" in text:
-        text = _SECRETS.sub(lambda m: put(m, "secret", 1), text)
-    return _NUMBERS.sub(lambda m: put(m, m.lastgroup), text), kinds
+def session_key(spark: SparkSession) -> str:
+    """The key that the session holds in ``spark.panelspark.pii.secret`` (Spark hides settings of such names in its logs).
+
+    Without that setting it is a public key, with a warning: fit for tests, since anyone can undo its pseudonyms.
+    """
+    key = spark.conf.get(KEY_SETTING, "")
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms use a public key and can be undone by anyone", stacklevel=2)
+    return key or DEMONSTRATION_KEY
 
 
-def mask(docs: DataFrame, text: str = "text", key: str = "panelspark", kinds: str = "pii_kinds") -> DataFrame:
+def mask(docs: DataFrame, key: str, text: str = "text", kinds: str = "pii_kinds") -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and the kinds of the replaced values in a new column ``kinds``.
 
     Handled: e-mail addresses, keys after ``=`` or ``:``, IPv4 addresses, dates, social security, phone,
     card and account numbers. Texts without them come back unchanged; null stays null (no kinds). All
     other columns and all rows stay as they are; ``kinds`` replaces a column of that name.
-    ``key`` is secret and must stay the same for values to stay linked.
+    ``key`` is secret and must stay the same for values to stay linked; an empty one is an error. An empty
+    table gives an empty one.
     """
+    if not key:
+        raise ValueError("an empty key protects nothing")
     secret = hashlib.blake2b(key.encode()).digest()[:32]
     names = [c for c in docs.columns if c not in (text, kinds)]
     schema = ", ".join([f"`{text}` string", f"`{kinds}` array<string>"])

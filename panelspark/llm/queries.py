@@ -83,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal values, and how many were replaced."""
-    masked = pii.mask(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    masked = pii.mask(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
     return masked.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), "pii_kinds")
 
 

@@ -440,11 +440,53 @@ def test_pseudonyms_are_permutations_without_fixed_points(domain):
 
 def test_pii_rows(docs, rows, spark, empty):
     extra = spark.createDataFrame([(900, "call +1 (017) 555-7713 or 10.0.0.7", "en", "s", 3, "k", "b", "r")] * 2, DOCS)
-    got = pii.mask(docs.unionByName(extra)).collect()
+    got = pii.mask(docs.unionByName(extra), "k").collect()
     before = {r[0]: r[1] for r in rows}
     assert len(got) == len(rows) + 2 and all(r.text == before[r.doc_id] for r in got if r.doc_id != 900)
     assert len({r.text for r in got if r.doc_id == 900}) == 1 and [r.pii_kinds for r in got if r.doc_id == 900][0] == ["phone", "ip"]
-    assert pii.mask(empty).collect() == [] and pii.mask(docs).columns == [*docs.columns, "pii_kinds"]
+    assert pii.mask(empty, "k").collect() == [] and pii.mask(docs, "k").columns == [*docs.columns, "pii_kinds"]
+
+
+def test_pii_key_is_required_and_comes_from_the_session(docs, spark):
+    with pytest.raises(TypeError):
+        pii.mask(docs)
+    with pytest.raises(ValueError):
+        pii.mask(docs, "")
+    with pytest.warns(UserWarning):
+        assert pii.session_key(spark) == pii.DEMONSTRATION_KEY
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    try:
+        assert pii.session_key(spark) == "mine"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+PIECES = ["123-456-7890", "@", "example.com", "=", "id=", ": ", "4111111111111111", "abcdef", "ABCDEF0123456789ABCD", "4111 1111 1111 1111",
+          "a1b2c3d4e5f6a1b2c3d4", "10.0.0.7", "1/2/2024", "31/12/1999", "2024-02-29", "9.9.1950", "123-45-6789", "+1 (017) 555-7713", " ", ".", "-",
+          "jo.07@mail1.example.com", "é", "x9@a.bc", "\uff11", "\u0661", "_", "'", "12345678901234567890", "\n"]
+
+
+def test_pii_can_be_undone_over_all_neighbours():
+    """Every pair of pieces, and long seeded chains of them: what comes back is the given text."""
+    rng = np.random.default_rng(7)
+    texts = [a + b for a in PIECES for b in PIECES] + ["".join(rng.choice(PIECES, rng.integers(3, 12))) for _ in range(3000)]
+    moved = 0
+    for text in texts:
+        new, kinds = pii.pseudonymise(text, KEY)
+        assert len(new) == len(text) and pii.pseudonymise(new, KEY, back=True) == (text, kinds)
+        moved += bool(kinds)
+        assert (new != text) == bool(kinds)
+    assert moved > 2000
+
+
+@pytest.mark.parametrize("text", ["41111111\uff111111111", "2024-02-2\uff19", "\u0661\u0662\u0663-45-6789", "+\uff11 (\uff10\uff1017) 555-77"])
+def test_pii_digits_are_ascii(text):
+    assert pii.pseudonymise(text, KEY) == (text, [])
+
+
+def test_pii_short_dates_keep_their_length():
+    new = {pii.pseudonymise(f"{m}/{d}/2024", KEY)[0] for m in range(1, 10) for d in range(1, 10)}
+    assert len(new) == 81 and all(re.fullmatch(r"[1-9]/[1-9]/(19|20)\d\d", x) for x in new)
 
 
 def test_label_model_recovers_accuracies():
