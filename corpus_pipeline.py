@@ -52,9 +52,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents with pseudonyms in their texts; ``n_chars`` follows the text.
 
     Every row stays; null stays null and an empty text empty. Equal values get equal pseudonyms in all rows. Other columns
-    pass unchanged, also one named ``pii_kinds``.
+    pass unchanged, also one named ``pii_kinds``. The key is the session's (``pii.session_key``).
     """
-    masked = pii.mask(docs, kinds=tables.free_name(docs, "pii_kinds"))
+    masked = pii.mask(docs, pii.session_key(spark), kinds=tables.free_name(docs, "pii_kinds"))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return masked.select(*docs.columns)
