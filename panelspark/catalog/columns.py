@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 from panelspark.catalog import query, table
 from panelspark.functions import fixed_values as fv
 from panelspark.functions import scalars as S
-from panelspark.functions.hashing import normal, row_hash, uniform
 from panelspark.operators import project
 from panelspark.plans import waste
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
-# md5-based uniform and centred pseudo-normal numbers, as SQL over a hash column
-SQL_UNIFORM = "(('0x' || substr({h}, 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+# md5-based centred pseudo-normal numbers, as SQL over a hash column
 
 
 def sql_normal(h: str) -> str:
@@ -142,29 +140,20 @@ def p13(spark, sf):
     return project.features_and_target(table(spark, sf, "part"), ["p_size", "p_partkey"], "p_retailprice")
 
 
-_U = SQL_UNIFORM.format(h="md5('42-t|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey)")
-_N = sql_normal("md5('42-n|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey)")
-
-
-@query("p14_bounded_formula", f"""
+@query("p14_bounded_formula", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  round(greatest(50.0::DOUBLE, least(1000.0::DOUBLE, l_extendedprice * 0.005::DOUBLE + l_quantity * (0.3::DOUBLE + {_U} * 0.4::DOUBLE)
-    + CASE l_returnflag WHEN 'A' THEN 120 WHEN 'N' THEN 200 ELSE 350 END * CASE l_linestatus WHEN 'F' THEN 1.1::DOUBLE ELSE 0.95::DOUBLE END
-    + {_N} * 20.0::DOUBLE)), 2) AS waste_amount,
+  round(greatest(50.0::DOUBLE, least(1000.0::DOUBLE, l_extendedprice * 0.005::DOUBLE + l_quantity * 0.5::DOUBLE
+    + CASE l_returnflag WHEN 'A' THEN 120 WHEN 'N' THEN 200 ELSE 350 END * CASE l_linestatus WHEN 'F' THEN 1.1::DOUBLE ELSE 0.95::DOUBLE END)), 5) AS waste_amount,
   round(greatest(20.0::DOUBLE, least(500.0::DOUBLE, CASE l_returnflag WHEN 'A' THEN 85 WHEN 'N' THEN 110 ELSE 180 END
-    + {_N} * 15.0::DOUBLE + (l_quantity - 60) * 0.3::DOUBLE)), 4) AS pollution_index
+    + (l_quantity - 60) * 0.3::DOUBLE)), 4) AS pollution_index
 FROM lineitem""")
 def p14(spark, sf):
     weight = S.lookup("l_returnflag", {"A": 120, "N": 200, "R": 350})
     modifier = S.lookup("l_linestatus", {"F": 1.1, "O": 0.95})
-    d = table(spark, sf, "lineitem").withColumns({
-        "u": F.lit(0.3) + uniform(row_hash(LINE_KEY, "42-t")) * F.lit(0.4), "z": normal(row_hash(LINE_KEY, "42-n"))})
-    d = project.with_bounded_sum(d, "waste_amount", [
-        F.col("l_extendedprice") * F.lit(0.005), F.col("l_quantity") * F.col("u"), weight * modifier,
-        F.col("z") * F.lit(20.0)], *fv.WASTE_BOUNDS, 2)
+    d = project.with_bounded_sum(table(spark, sf, "lineitem"), "waste_amount", [
+        F.col("l_extendedprice") * F.lit(0.005), F.col("l_quantity") * F.lit(0.5), weight * modifier], *fv.WASTE_BOUNDS, 5)
     d = project.with_bounded_sum(d, "pollution_index", [
-        S.lookup("l_returnflag", {"A": 85, "N": 110, "R": 180}), F.col("z") * F.lit(15.0),
-        (F.col("l_quantity") - 60) * F.lit(0.3)], *fv.AQI_BOUNDS, 4)
+        S.lookup("l_returnflag", {"A": 85, "N": 110, "R": 180}), (F.col("l_quantity") - 60) * F.lit(0.3)], *fv.AQI_BOUNDS, 4)
     return d.select(*LINE_KEY, "waste_amount", "pollution_index")
 
 

@@ -111,6 +111,9 @@ FORECAST_HUMIDITY = 60
 FORECAST_AQI = 100.0
 FORECAST_BOUNDS = (50.0, 1200.0)
 WASTE_BOUNDS = (50.0, 1000.0)
+WASTE_PER_PERSON = 0.00005
+WASTE_PER_DEGREE = 0.5  # middle of 0.3 to 0.7
+WASTE_PER_HUMIDITY = 0.1  # middle of 0.05 to 0.15
 AQI_BOUNDS = (20.0, 500.0)
 WASTE_CAP = 1000.0
 CAP_REPAIR_MEAN, CAP_REPAIR_STD = 1050.0, 80.0

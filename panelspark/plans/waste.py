@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import fixed_values as fv
 from panelspark.functions import scalars as S
-from panelspark.functions.hashing import normal, row_hash, uniform
+from panelspark.functions.hashing import normal, row_hash
 from panelspark.operators import joins, project, quality, quantiles, ranking, sampling
 from panelspark.sources import dimensions
 
@@ -21,39 +21,60 @@ def impute_weather(weather: DataFrame, accuracy: int | None = None) -> DataFrame
             .drop("weather_code"))
 
 
-def with_air_quality(df: DataFrame, noise_std: float = 15.0, seed: int = fv.SEED) -> DataFrame:
-    """pollution_index: base index plus humidity effect plus noise by row key, bounded, 1 decimal."""
-    noise = normal(row_hash(PANEL_KEY, f"{seed}-aqi"), 0.0, noise_std)
-    terms = [F.col("aqi_base"), noise, (F.col("humidity") - 60) * F.lit(0.3)]
-    return project.with_bounded_sum(df, "pollution_index", terms, *fv.AQI_BOUNDS, 1)
+def cell_measures(readings: DataFrame) -> DataFrame:
+    """Stored readings to one row per place, day, sector and zone.
 
+    The amounts of a cell add up (as decimals, so in any order alike), its pollution index is the day's highest. Cells
+    without an amount, or without an index, have null there.
+    """
+    amount = F.sum(F.col("waste_amount").try_cast("decimal(18,2)")).cast("double")
+    return readings.groupBy(*PANEL_KEY).agg(amount.alias("measured_waste"), F.max(F.nanvl(
+        F.col("pollution_index").cast("double"), F.lit(None).cast("double"))).alias("measured_pollution"))
 
-def with_waste_amount(df: DataFrame, noise_std: float = 20.0, seed: int = fv.SEED) -> DataFrame:
-    """waste_amount: population, temperature, humidity and sector-by-zone terms plus noise, bounded,
-    2 decimals."""
-    def h(part):
-        return row_hash(PANEL_KEY, f"{seed}-{part}")
+
+def _measured_or_expected(df: DataFrame, name: str, measured: str, terms: list, bounds: tuple, digits: int) -> DataFrame:
+    expected = project.with_bounded_sum(df, name, terms, *bounds, digits)
+    if measured not in df.columns:
+        return expected
+    stored = F.round(S.clip(measured, *bounds), digits)
+    return expected.withColumn(name, F.when(F.col(measured).isNotNull(), stored).otherwise(F.col(name)))
+
+
+def with_air_quality(df: DataFrame) -> DataFrame:
+    """pollution_index: ``measured_pollution`` where the cell has one, else base index plus humidity effect; bounded, 1 decimal."""
+    terms = [F.col("aqi_base"), (F.col("humidity") - 60) * F.lit(0.3)]
+    return _measured_or_expected(df, "pollution_index", "measured_pollution", terms, fv.AQI_BOUNDS, 1)
+
+
+def with_waste_amount(df: DataFrame) -> DataFrame:
+    """waste_amount: ``measured_waste`` where the cell has one, else what population, temperature, humidity and
+    sector by zone let expect; bounded, 2 decimals."""
     terms = [
-        F.col("population") * F.lit(0.00005),
-        F.col("temperature") * uniform(h("temperature"), 0.3, 0.7),
-        F.col("humidity") * uniform(h("humidity"), 0.05, 0.15),
+        F.col("population") * F.lit(fv.WASTE_PER_PERSON),
+        F.col("temperature") * F.lit(fv.WASTE_PER_DEGREE),
+        F.col("humidity") * F.lit(fv.WASTE_PER_HUMIDITY),
         F.col("weight") * F.col("modifier"),
-        normal(h("noise"), 0.0, noise_std),
     ]
-    return project.with_bounded_sum(df, "waste_amount", terms, *fv.WASTE_BOUNDS, 2)
+    return _measured_or_expected(df, "waste_amount", "measured_waste", terms, fv.WASTE_BOUNDS, 2)
+
 
+def build_raw(weather: DataFrame, readings: DataFrame | None = None) -> DataFrame:
+    """Weather days (location, date, temperature, humidity, weather_code, population) to the raw panel: imputed,
+    expanded by sector and zone, with both measures.
 
-def build_raw(weather: DataFrame, seed: int = fv.SEED) -> DataFrame:
-    """Weather days (location, date, temperature, humidity, weather_code, population) to the
-    raw panel: imputed, expanded by sector and zone, with the derived measures."""
+    ``readings`` (location, date, sector, zone, waste_amount, pollution_index; any number a cell, dates written as in
+    ``weather``) are the stored measures. Cells without them, or all without ``readings``, get the expected values. Readings of days or cells that
+    the panel does not hold are left out. The grouping of the readings and the join share one shuffle on the cell.
+    """
     spark = weather.sparkSession
     base = dimensions.city(spark).select("location", "aqi_base")
     days = joins.lookup(impute_weather(weather), F.broadcast(base), "location")
     cells = joins.cross_expand(days, {"sector": list(fv.SECTOR_WEIGHTS)}, {"zone": list(fv.ZONE_MODIFIERS)})
     cells = joins.lookup(cells, dimensions.sector_weight(spark), "sector")
     cells = joins.lookup(cells, dimensions.zone_modifier(spark), "zone")
-    derived = with_waste_amount(with_air_quality(cells, seed=seed), seed=seed)
-    typed = derived.withColumns({
+    if readings is not None:
+        cells = cells.join(cell_measures(readings), PANEL_KEY, "left")
+    typed = with_waste_amount(with_air_quality(cells)).withColumns({
         "date": S.format_date(S.parse_date("date")),
         "temperature": F.round("temperature", 1),
         "humidity": F.col("humidity").cast("bigint"),

@@ -75,6 +75,33 @@ def test_raw_panel_is_reproducible(weather, raw):
     assert waste.shuffled(raw).limit(50).count() == 50
 
 
+def test_stored_measures_replace_expected_values(spark, weather, raw):
+    """Amounts of a cell add up, the highest index counts, bounds hold; what is not measured stays as expected."""
+    schema = "location string, date string, sector string, zone string, waste_amount double, pollution_index double"
+    day = "2023-12-12"
+    rows = [("Delhi", day, "Healthcare", "North", 60.1, 90.0), ("Delhi", day, "Healthcare", "North", 60.2, 70.0),
+            ("Delhi", day, "Healthcare", "South", 5000.0, float("nan")), ("Delhi", day, "Healthcare", "East", None, 3.0),
+            ("Atlantis", day, "Healthcare", "North", 60.1, 90.0), ("Delhi", "1999-01-01", "Healthcare", "North", 60.1, 90.0),
+            (None, day, "Healthcare", "North", 60.1, 90.0)]
+    got = waste.build_raw(weather, spark.createDataFrame(rows, schema))
+    assert got.count() == raw.count() and got.columns == raw.columns
+    key = {}
+    for name, df in (("got", got), ("raw", raw)):
+        for r in df.where(f"location = 'Delhi' and date = '{day}' and sector = 'Healthcare'").collect():
+            key[r.zone, name] = (r.waste_amount, r.pollution_index)
+    assert key["North", "got"] == (120.3, 90.0) and key["South", "got"] == (1000.0, key["South", "raw"][1])
+    assert key["East", "got"] == (key["East", "raw"][0], 20.0) and key["West", "got"] == key["West", "raw"]
+    assert got.exceptAll(raw).count() <= 3
+    none = waste.build_raw(weather, spark.createDataFrame([], schema))
+    assert none.exceptAll(raw).count() == 0 and none.count() == raw.count()
+
+
+def test_expected_values(raw):
+    r = raw.where("location = 'Bangalore' and sector = 'Healthcare' and zone = 'West' and temperature is not null").first()
+    assert r.waste_amount == pytest.approx(13_190_000 * 0.00005 + r.temperature * 0.5 + r.humidity * 0.1 + 80 * 0.98, abs=0.2)
+    assert r.pollution_index == pytest.approx(85 + (r.humidity - 60) * 0.3, abs=0.2)
+
+
 def test_engineered_columns_and_codes(engineered):
     df, maps = engineered
     assert df.columns == fv.CLEAN_COLUMNS
