@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -142,3 +143,50 @@ def test_tables_of_fitted_models(frame, kind):
     by_feature = {r.feature: r for r in trees.importance(nodes, [*FEATURES, "unused"]).collect()}
     assert by_feature["unused"].weight == 0 and sum(r.share for r in by_feature.values()) == pytest.approx(1)
     assert sum(r.weight for r in by_feature.values()) == nodes.where("feature is not null").count()
+
+
+def test_levels_as_jobs_give_the_model_of_one_task(frame):
+    """Across updates of the predictions and chunks. Tasks that waited for each other took over a second a level."""
+    def told(tasks, **more):
+        m = boosting.boost(frame, ["id"], FEATURES, "y", rounds=12, depth=4, valid="late", tasks=tasks, **more)
+        return sorted(map(tuple, m.nodes.collect()), key=str), [tuple(r) for r in m.rounds.orderBy("round").collect()]
+    one = told(1)
+    start = time.monotonic()
+    assert told(3, chunk=10) == one
+    assert time.monotonic() - start < 40
+    assert told(3, patience=2) == told(1, patience=2, chunk=5)
+
+
+def test_blocks_are_read_as_they_come(monkeypatch):
+    """A task holds one block of rows, however many its partition has."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    seen = []
+
+    def blocks():
+        for i in range(50):
+            seen.append(i)
+            n = 40
+            yield boosting._Rows(np.full((2, n), i, np.uint8), np.arange(n) + 0.5, np.zeros(n), np.arange(n, dtype=np.uint64), np.arange(n) % 2 == 0).packed()
+    rows = boosting._joined(blocks(), 2)
+    first = next(rows)
+    assert len(first.y) == 120 and len(seen) == 3 and first.bins[1, 119] == 2 and first.y[40] == 0.5
+    assert sum(len(r.y) for r in rows) == 50 * 40 - 120
+
+
+@pytest.mark.parametrize("levels", [3, 9])
+def test_descend_equals_a_walk(levels):
+    """Early leaves, levels of many splits, missing values to the left."""
+    r = np.random.default_rng(levels)
+    feature, cut = np.full(2 << levels, -1), np.zeros(2 << levels)
+    for n in range(1, 1 << levels):
+        if (n == 1 or feature[n // 2] >= 0) and (n < 4 or r.random() < 0.95):
+            feature[n], cut[n] = r.integers(3), r.random()
+    assert levels < 9 or (feature[256:512] >= 0).sum() > trees._NARROW
+    x, value = r.random((3, 500)), r.random(2 << levels)
+    x[0, :50] = np.nan
+    got = trees.leaves(feature, value, levels)[trees.descend(x, feature, cut, levels)]
+    for i in range(500):
+        n = 1
+        while feature[n] >= 0:
+            n = 2 * n + int(x[feature[n], i] > cut[n])
+        assert got[i] == value[n]
