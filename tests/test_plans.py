@@ -319,3 +319,16 @@ def test_future_features_take_environment_and_places(spark):
     places = spark.createDataFrame([("Nowhere", 1000, 10)], "location string, population int, area_km2 int")
     rows = forecast.future_features(entities, 2, dt.date(2024, 1, 1), "zero", places, {"temperature": 10.0}).collect()
     assert [(r.temperature, r.population_density) for r in rows] == [(10.0, 100.0)] * 2
+
+
+def test_bounded_formula_draws_by_line(spark, tmp_path):
+    """The coefficient and the daily variation are drawn from the key: equal measures differ from line to line, and again alike."""
+    from panelspark import catalog
+    rows = [(k, 1, 5, 6, 20.0, 30000.0, "N", "O") for k in range(40)] + [(99, 1, 5, 6, 20.0, 1e9, "R", "F")]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, "
+                                "l_extendedprice double, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    query = catalog.load()[0]["p14_bounded_formula"]
+    got = sorted(map(tuple, query(spark, str(tmp_path)).collect()))
+    assert len({r[4] for r in got}) > 30 and len({r[5] for r in got}) > 30 and got[-1][4] == 1000.0
+    assert all(abs(r[4] - 350) < 130 and abs(r[5] - 98) < 90 for r in got[:-1])
+    assert got == sorted(map(tuple, query(spark, str(tmp_path)).collect()))
