@@ -190,3 +190,18 @@ def test_descend_equals_a_walk(levels):
         while feature[n] >= 0:
             n = 2 * n + int(x[feature[n], i] > cut[n])
         assert got[i] == value[n]
+
+
+def test_rows_of_one_file_go_down_the_trees_in_many_tasks(spark):
+    """Joins ran in as many tasks as the rows had files."""
+    nodes = trees.node_table(spark, [(t, n, "a" if n == 1 else None, 0.5 if n == 1 else None, float(n * t), 0.0, 1.0) for t in (1, 2) for n in (1, 2, 3)])
+    d = spark.createDataFrame([(i if i else None, i % 2 + 0.0) for i in range(100)] + [(7, 0.0)], "id long, a double").coalesce(1)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        told = trees.outputs(nodes, d, ["a"], ["id"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len({r.task for r in told}) > 1
+    want = [(i if i else None, t, t * (2.0 + i % 2)) for i in range(100) for t in (1, 2)] + [(7, 1, 2.0), (7, 2, 4.0)]
+    assert sorted(((r.id, r.tree, r.value) for r in told), key=str) == sorted(want, key=str)
