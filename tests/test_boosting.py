@@ -205,3 +205,41 @@ def test_rows_of_one_file_go_down_the_trees_in_many_tasks(spark):
     assert len({r.task for r in told}) > 1
     want = [(i if i else None, t, t * (2.0 + i % 2)) for i in range(100) for t in (1, 2)] + [(7, 1, 2.0), (7, 2, 4.0)]
     assert sorted(((r.id, r.tree, r.value) for r in told), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("depth", [1, 3, 6])
+def test_sets_of_leaves_equal_a_walk(depth):
+    """Walking every waiting tree was most of a round's first job."""
+    r = np.random.default_rng(depth)
+    s = boosting.Settings([np.arange(k - 1.0) for k in (64, 256, 1, 5, 40)], depth, 0.1, 1.0, 1.0, 1.0, 0.0, 1, 42, 1.0)
+    bins = np.array([r.integers(0, len(c) + 1, 3000) for c in s.cuts], dtype=np.uint8)
+    grown = []
+    for _ in range(3):
+        nodes, waiting = [], [1]
+        while waiting:
+            n = waiting.pop()
+            f = int(r.integers(5)) if n < 1 << depth and (n == 1 or r.random() < 0.9) else -1
+            f = -1 if f >= 0 and not len(s.cuts[f]) else f
+            nodes.append((n, f, int(r.integers(len(s.cuts[f]))) if f >= 0 else 0, r.random(), 0.0, 1.0))
+            waiting += [2 * n, 2 * n + 1] if f >= 0 else []
+        grown.append(np.array(nodes))
+    want, got = np.zeros(3000), np.zeros(3000)
+    for nodes in grown:
+        want += boosting.leaf_values(bins, nodes, depth)
+    boosting.Leaves(grown, s).add(bins, got)
+    assert (got == want).all() and len(set(got)) > depth
+
+
+def test_rows_are_written_before_labels_are_looked_at(frame, monkeypatch):
+    """A condition on a computed label made Spark compute it a second time for every row, without common parts."""
+    plans = []
+
+    def noted(df, name="side"):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return kept(df, name)
+    kept = boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", noted)
+    labelled = frame.withColumn("y", F.col("y") * 2 + 1)
+    model = boosting.boost(labelled, ["id"], FEATURES, "y", rounds=1, depth=1, rows=1.0)
+    assert "Filter" not in dict(plans)["given"]
+    assert model.nodes.where("node = 1").first().cover == 400  # the row without a label is left out
