@@ -34,7 +34,8 @@ SUMS = 3  # rows, labels, squares of labels
 
 
 class Settings(NamedTuple):
-    """``cuts`` are the upper bounds of all bins but the last, by feature; a label is ``base`` and whole steps of ``unit``."""
+    """``cuts`` are the upper bounds of all bins but the last, by feature; a label is ``base`` and whole steps of ``unit``, its
+    square counts in ``square`` steps."""
 
     cuts: list[np.ndarray]
     trees: int
@@ -47,6 +48,7 @@ class Settings(NamedTuple):
     seed: int
     base: float
     unit: float
+    square: float
 
     @property
     def bins(self) -> int:
@@ -163,7 +165,7 @@ def add_up(cells: np.ndarray, block: tuple[np.ndarray, np.ndarray, np.ndarray],
         place, at, times = place[kept], at[kept], times[kept]
     label = steps[at].astype(np.float64)
     first = times * label
-    second = np.floor(label * label * 2.0 ** -22 + 0.5)
+    second = np.floor(label * label / s.square + 0.5)
     second *= times
     drawn = level.drawn[tree]
     for k in range(drawn.shape[1]):
@@ -252,7 +254,7 @@ def grow(rows: RDD, s: Settings) -> list[np.ndarray]:
             sums = np.stack([best[:, 6:9], best[:, 3:6] - best[:, 6:9]], axis=1).reshape(-1, 3)
             below = np.stack([2 * here, 2 * here + 1], axis=1).reshape(-1)
             # the last level's nodes and those of one label are leaves
-            done = (sums[:, 2] * sums[:, 0] - sums[:, 1] ** 2 * 2.0 ** -22 <= 0) if deep + 1 < s.depth else np.ones(len(below), dtype=bool)
+            done = (sums[:, 2] * sums[:, 0] - sums[:, 1] ** 2 / s.square <= 0) if deep + 1 < s.depth else np.ones(len(below), dtype=bool)
             leaves = np.full((int(done.sum()), 7), 0.0)
             leaves[:, 0], leaves[:, 1], leaves[:, 4:] = below[done], -1, sums[done]
             told[t].append(leaves)
@@ -278,7 +280,7 @@ def _stored(trees: list[np.ndarray], s: Settings) -> pa.Table:
         for node in order:
             _, f, b, gain, n, y, yy = by_node[node]
             mean, inner = y / n * s.unit if n else 0.0, f >= 0
-            square = yy / n * 2.0 ** 22 * s.unit ** 2 if n else 0.0
+            square = yy / n * s.square * s.unit ** 2 if n else 0.0
             sums = [n, n * (s.base + mean), n * (square + 2 * s.base * mean + s.base ** 2)]
             out.append((t, place[node], s.base + mean, max(square - mean * mean, 0.0), sums, int(n), gain if inner else -1.0,
                         place[2 * node] if inner else -1, place[2 * node + 1] if inner else -1, int(f),
@@ -323,11 +325,12 @@ def fit(regressor: RandomForestRegressor, data: DataFrame, key: list[str], tasks
     given = materialize(rows.withColumn("_key", F.xxhash64("_key", nth)), "given")
     least, most, every = given.agg(F.min("_label"), F.max("_label"), F.count(F.lit(1))).first()
     span = max(most - least, max(abs(most), abs(least)) * 2.0 ** -20) or 1.0
-    unit = 2.0 ** (math.ceil(math.log2(span)) - 24)
+    bits = max(8, min(31, 53 - every.bit_length()))  # as fine as sums over all rows stay exact
+    unit = 2.0 ** (math.ceil(math.log2(span)) - bits)
     base = math.floor((least + most) / 2 / unit) * unit
     s = Settings(boosting.bin_cuts(given, names, regressor.getMaxBins()), regressor.getNumTrees(), regressor.getMaxDepth(),
                  features_per_node(regressor.getFeatureSubsetStrategy(), n, regressor.getNumTrees()), regressor.getSubsamplingRate(),
-                 regressor.getBootstrap(), regressor.getMinInfoGain(), regressor.getMinInstancesPerNode(), regressor.getSeed(), base, unit)
+                 regressor.getBootstrap(), regressor.getMinInfoGain(), regressor.getMinInstancesPerNode(), regressor.getSeed(), base, unit, 2.0 ** (bits - 2))
     tasks = tasks or max(data.sparkSession.sparkContext.defaultParallelism, -(-every // ROWS_PER_TASK))
     blocks = given.mapInArrow(_binned(s.cuts, base, unit), "data binary").repartition(tasks).rdd
     kept = blocks.map(lambda r: bytes(r["data"])).persist(StorageLevel.MEMORY_AND_DISK)
